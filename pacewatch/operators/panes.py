@@ -48,6 +48,10 @@ def _deviation(parts: Column, mean: Column) -> Column:
     )
 
 
+def _since(parts: Column, start: Column) -> Column:
+    return F.filter(parts, lambda p: p["_t"] >= start)
+
+
 def paned_rolling(
     df: DataFrame,
     frames: Mapping[str, tuple[str, str]],
@@ -148,7 +152,7 @@ def paned_rolling(
     nothing = F.filter("parts", lambda p: F.lit(False))
     opened = opened.withColumn("tail", tail)
     for w, length in used.items():
-        head = F.filter(f"head_{w}", lambda p, length=length: p["_t"] >= here - length)
+        head = _since(F.col(f"head_{w}"), here - length)
         opened = opened.withColumn(f"rest_{w}", F.concat("tail", F.coalesce(head, nothing)))
     ends = []
     for w in used:

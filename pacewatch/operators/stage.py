@@ -12,35 +12,38 @@ from pacewatch.schema import STAGED_COLUMNS
 
 
 def dedupe_first(
-    df: DataFrame, id_col: str = "transaction_id", order_cols: Sequence[str | Column] = ("_ingested_at",)
+    df: DataFrame,
+    id_col: str = "transaction_id",
+    order_cols: Sequence[str | Column] = ("_ingested_at",),
+    unique_order: bool = False,
 ) -> DataFrame:
     """Keep the first-arrived row of each id.
 
     Spark ranks inside each map task first and ships one row per id and task
     (WindowGroupLimit), so an id repeated in a third of all rows stays small on the
-    wire. A whole-row hash breaks the ties that arrival time leaves open.
+    wire. Where ``order_cols`` can tie, a whole-row hash decides; ``unique_order`` says
+    they cannot, which leaves unused columns out of the scan.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    order.append(F.xxhash64(*[F.col(c) for c in df.columns]))
+    if not unique_order:
+        order.append(F.xxhash64(*[F.col(c) for c in df.columns]))
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(*order))
     return df.withColumn("_dedupe_rank", first).filter("_dedupe_rank = 1").drop("_dedupe_rank")
 
 
-def arrival_order(df: DataFrame) -> list[str]:
-    """Arrival columns that the table has, most significant first."""
-    wanted = ("_ingested_at", "_kafka_partition", "_kafka_offset")
-    return [c for c in wanted if c in df.columns]
-
-
 def stage(bronze: DataFrame) -> DataFrame:
-    """Raw table -> deduplicated transactions with epoch seconds and date."""
-    return dedupe_first(bronze, "transaction_id", arrival_order(bronze)).select(
-        *[
-            epoch_seconds("event_time").alias(c)
-            if c == "event_time_unix"
-            else event_date("event_time").alias(c)
-            if c == "event_date"
-            else F.col(c)
-            for c in STAGED_COLUMNS
-        ]
+    """Raw table -> deduplicated transactions with epoch seconds and date.
+
+    Partition and offset of the source topic, where present, settle equal arrival times.
+    """
+    arrival = ["_ingested_at"]
+    offsets = ["_kafka_partition", "_kafka_offset"]
+    known = all(c in bronze.columns for c in offsets)
+    first = dedupe_first(
+        bronze, "transaction_id", arrival + offsets if known else arrival, unique_order=known
     )
+    derived = {
+        "event_time_unix": epoch_seconds("event_time"),
+        "event_date": event_date("event_time"),
+    }
+    return first.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in STAGED_COLUMNS])

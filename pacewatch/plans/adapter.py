@@ -26,6 +26,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("event_time"),
         F.col("value").alias("amount"),
         (F.col("event_type") == "error").cast("int").alias("is_fraud"),
+        F.lit(0).alias("_kafka_partition"),
+        F.col("event_id").alias("_kafka_offset"),
         F.col("ts").cast("timestamp").alias("_ingested_at"),
         F.col("event_type"),
         *[

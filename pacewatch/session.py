@@ -18,6 +18,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, **conf:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
