@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,10 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def transaction_features(
-    staged: DataFrame, hot_rows: int = HOT_ROWS, count_from: DataFrame | None = None
+    staged: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    count_from: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The transaction feature table in one window pass, without joins.
 
@@ -84,7 +89,7 @@ def transaction_features(
     feature_names = [*frames, GAP, "amount_vs_avg_24h", "amount_vs_max_7d", "amount_zscore_7d"]
     known = F.col("transaction_id").isNotNull()
     computed = computed.withColumns({c: F.when(known, F.col(c)) for c in feature_names})
-    return fill_defaults(computed).select(*TRANSACTION_FEATURE_COLUMNS)
+    return fill_defaults(computed).select(*TRANSACTION_FEATURE_COLUMNS, *keep)
 
 
 def assemble_features(
