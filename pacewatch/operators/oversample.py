@@ -64,9 +64,9 @@ def _with_axes(vectors: DataFrame) -> DataFrame:
     return projected.select("v", "copies", *ps)
 
 
-def _with_bound(vectors: DataFrame, k: int) -> DataFrame:
+def _with_bound(vectors: DataFrame, distinct: int, k: int) -> DataFrame:
     """Add ``r``, an upper bound of the distance to the k-th other vector, or null."""
-    ranges = min(vectors.count() // _SORT_RANGE_ROWS, _MAX_SORT_RANGES)
+    ranges = min(distinct // _SORT_RANGE_ROWS, _MAX_SORT_RANGES)
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
         edges = sorted(set(vectors.approxQuantile("p0", shares, 1 / (4 * ranges))))
@@ -82,7 +82,10 @@ def _with_bound(vectors: DataFrame, k: int) -> DataFrame:
 
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """(v, neighbours): the k nearest rows of each distinct vector, copies counted singly."""
-    bounded = _with_bound(_with_axes(vectors), k).checkpoint()
+    distinct = vectors.count()
+    if distinct == 1:
+        return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
+    bounded = _with_bound(_with_axes(vectors), distinct, k).checkpoint()
     searched = bounded.filter(F.col("copies") <= k)
     reach = F.col("r") * (1 + _SLACK) + _SLACK * (1 + F.abs("p0") + F.abs("p1") + F.abs("p2"))
     level = F.ceil(F.log2(2 * F.col("reach"))).cast("int")
