@@ -31,8 +31,10 @@ def train(
 ) -> PipelineModel:
     """Fit boosted trees. ``params`` override single defaults.
 
-    Every tenth tree the working set goes to the checkpoint folder, so a lost executor
-    late in the fit does not replay all earlier trees.
+    Boosting passes over its input several times per tree, so the input is written to
+    the checkpoint folder once: neither a pass nor a lost executor then replays the
+    feature and oversampling plans behind it. Every tenth tree the running predictions
+    go there too.
     """
     use_checkpoints(df.sparkSession)
     settings = {**GBT_PARAMS, "checkpointInterval": 10, **(params or {})}
@@ -45,7 +47,7 @@ def train(
     )
     trees.setRawPredictionCol("_raw").setProbabilityCol("_probability")
     table = assemble(df.select(*features, F.col(label).cast("double").alias(label)), features)
-    return Pipeline(stages=[vector, trees]).fit(table)
+    return Pipeline(stages=[vector, trees]).fit(table.checkpoint())
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

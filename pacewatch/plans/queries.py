@@ -152,15 +152,12 @@ def _raw_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _messages(spark: SparkSession, sf: str) -> DataFrame:
     """Events as topic messages, some of them broken text and some with a bad amount."""
-    encoded = ev.encode_events(ev.to_events(_raw_rows(spark, sf), POOL))
-
-    def inside(name: str) -> Column:
-        return F.get_json_object("value", f"$.{name}")
-
+    events = ev.to_events(_raw_rows(spark, sf), POOL)
+    encoded = ev.encode_events(events, keep=["transaction_id", "V1", "V2"])
     bad_amount = F.regexp_replace("value", '"amount":[0-9.E-]+', '"amount":"x"')
     value = (
-        F.when(inside("V1").cast("double") > 3.5, F.concat(F.lit("#"), "value"))
-        .when(inside("V2").cast("double") > 3.5, bad_amount)
+        F.when(F.col("V1") > 3.5, F.concat(F.lit("#"), "value"))
+        .when(F.col("V2") > 3.5, bad_amount)
         .otherwise(F.col("value"))
     )
     return encoded.select(
@@ -168,7 +165,7 @@ def _messages(spark: SparkSession, sf: str) -> DataFrame:
         value.cast("binary").alias("value"),
         F.lit("transactions").alias("topic"),
         F.lit(0).alias("partition"),
-        inside("transaction_id").substr(5, 20).cast("long").alias("offset"),
+        F.col("transaction_id").substr(5, 20).cast("long").alias("offset"),
         F.timestamp_seconds(F.lit(EPOCH_ORIGIN_SECONDS)).alias("timestamp"),
     )
 
@@ -507,7 +504,10 @@ def smote_rows(spark, sf):
 
 
 def _fitted(spark: SparkSession, sf: str):
-    train, test = split.time_split(_rare(spark, sf))
+    """A model of few trees. Features are read from a written table, as in a real run."""
+    path = scratch(spark)
+    _rare(spark, sf).write.parquet(path)
+    train, test = split.time_split(spark.read.parquet(path))
     fitted = model.train(smote(train), {"maxIter": GBT_TREES})
     return fitted, test
 

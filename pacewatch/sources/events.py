@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +28,13 @@ def to_events(raw: DataFrame, pool_size: int = DEFAULT_POOL_SIZE) -> DataFrame:
     )
 
 
-def encode_events(events: DataFrame) -> DataFrame:
-    """Events -> (key, value): the account id and the whole event as JSON text."""
+def encode_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Events -> (key, value): the account id and the whole event as JSON text.
+
+    ``keep`` names event columns to carry along, for topics that partition by them.
+    """
     body = F.to_json(F.struct(*EVENT_SCHEMA.names), {"ignoreNullFields": "false"})
-    return events.select(F.col("user_id").alias("key"), body.alias("value"))
+    return events.select(F.col("user_id").alias("key"), body.alias("value"), *keep)
 
 
 def write_events(
