@@ -33,9 +33,13 @@ _EVERYWHERE = 1 << 20  # grid level of vectors without a bound: one cell that ho
 _SLACK = 1e-9  # room for rounding in projections and distances
 
 
-def _distance(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
+def _distance(a: Column, b: Column, width: int) -> Column:
+    """Euclidean distance, written out per coordinate so that it compiles to plain code."""
+    total = F.lit(0.0)
+    for i in range(width):
+        step = a[i] - b[i]
+        total = total + step * step
+    return F.sqrt(total)
 
 
 def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
@@ -53,9 +57,8 @@ def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
     )
 
 
-def _with_axes(vectors: DataFrame) -> DataFrame:
+def _with_axes(vectors: DataFrame, width: int) -> DataFrame:
     """Add p0..p2, the projections on the leading principal axes."""
-    width = vectors.select(F.size("v")).head()[0]
     axes = min(_AXES, width)
     pca = PCA(k=axes, inputCol="_vec", outputCol="_pc")
     with_vec = vectors.withColumn("_vec", array_to_vector("v"))
@@ -64,7 +67,7 @@ def _with_axes(vectors: DataFrame) -> DataFrame:
     return projected.select("v", "copies", *ps)
 
 
-def _with_bound(vectors: DataFrame, distinct: int, k: int) -> DataFrame:
+def _with_bound(vectors: DataFrame, width: int, distinct: int, k: int) -> DataFrame:
     """Add ``r``, an upper bound of the distance to the k-th other vector, or null."""
     ranges = min(distinct // _SORT_RANGE_ROWS, _MAX_SORT_RANGES)
     if ranges > 1:
@@ -75,17 +78,24 @@ def _with_bound(vectors: DataFrame, distinct: int, k: int) -> DataFrame:
     else:
         vectors = vectors.withColumn("_range", F.lit(0.0))
     along = Window.partitionBy("_range").orderBy("p0", "v")
-    near = [_distance(F.col("v"), f(F.col("v"), i).over(along)) for i in range(1, k + 1) for f in (F.lag, F.lead)]
+    places = {f"_{f.__name__}{i}": f("v", i).over(along) for i in range(1, k + 1) for f in (F.lag, F.lead)}
+    near = [_distance(F.col("v"), F.col(c), width) for c in places]
     nearest = F.sort_array(F.filter(F.array(*near), lambda d: d.isNotNull()))
-    return vectors.withColumn("r", F.try_element_at(nearest, F.lit(k))).drop("_range")
+    seen = vectors.withColumns(places).withColumn("r", F.try_element_at(nearest, F.lit(k)))
+    return seen.drop("_range", *places)
 
 
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """(v, neighbours): the k nearest rows of each distinct vector, copies counted singly."""
-    distinct = vectors.count()
+    spark = vectors.sparkSession
+    distinct, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     if distinct == 1:
         return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
-    bounded = _with_bound(_with_axes(vectors), distinct, k).checkpoint()
+    bounded = _with_bound(_with_axes(vectors, width), width, distinct, k).select(
+        "*", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h")
+    )
+    # Written once: the ids stay what they are in every use below.
+    bounded = bounded.checkpoint()
     searched = bounded.filter(F.col("copies") <= k)
     reach = F.col("r") * (1 + _SLACK) + _SLACK * (1 + F.abs("p0") + F.abs("p1") + F.abs("p2"))
     level = F.ceil(F.log2(2 * F.col("reach"))).cast("int")
@@ -103,36 +113,47 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
         at = F.floor(F.try_divide(p, width)).cast("long")
         return F.when(F.col("level") == _EVERYWHERE, F.lit(0).cast("long")).otherwise(at)
 
-    left = queries.select(F.col("v").alias("q"), "reach", "level", *[F.col(f"p{j}").alias(f"q{j}") for j in range(_AXES)])
+    left = queries.select(F.col("id").alias("q_id"), F.col("v").alias("q"), "reach", "level", *[F.col(f"p{j}").alias(f"q{j}") for j in range(_AXES)])
     for j in range(_AXES):
         low, high = cell(F.col(f"q{j}") - F.col("reach")), cell(F.col(f"q{j}") + F.col("reach"))
         cells = F.when(F.col("level") == _EVERYWHERE, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(low, high))
         left = left.withColumn(f"c{j}", F.explode(cells))
-    right = bounded.select("v", "copies", "p0", "p1", "p2", F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
+    right = bounded.select("id", "h", "v", "copies", "p0", "p1", "p2", F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
     right = right.select("*", *[cell(F.col(f"p{j}")).alias(f"c{j}") for j in range(_AXES)])
-    inside = F.col("q") != F.col("v")
+    inside = F.lit(True)
     for j in range(_AXES):
         inside = inside & (F.col("reach").isNull() | (F.abs(F.col(f"q{j}") - F.col(f"p{j}")) <= F.col("reach")))
+    inside = inside & (F.col("q_id") != F.col("id"))
     grid = ["level", *[f"c{j}" for j in range(_AXES)]]
     left = left.select("*", *[F.col(c).alias(f"_{c}") for c in grid]).drop(*grid)
     same_cell = inside
     for c in grid:
         same_cell = (F.col(c) == F.col(f"_{c}")) & same_cell
+    # Cells are few bytes but much work: a fixed task count keeps them from being merged.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(tasks, *[f"_{c}" for c in grid])
     pairs = (
         left.join(right, same_cell)
-        .select("q", "v", "copies", "reach", _distance(F.col("q"), F.col("v")).alias("d"))
+        .select("q_id", "id", "h", "reach", _distance(F.col("q"), F.col("v"), width).alias("d"))
         .filter("reach is null or d <= reach")
     )
-    # Each task keeps its own k best per vector before the shuffle.
-    rank = F.row_number().over(Window.partitionBy("q").orderBy("d", "v"))
-    best = pairs.withColumn("_rank", rank).filter(F.col("_rank") <= k)
-    listed = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("d", "v", "copies"))).alias("near"))
+    # Each task keeps its own k best per vector before the shuffle. Pairs carry ids only;
+    # the vectors come back for the few that are left.
+    rank = F.row_number().over(Window.partitionBy("q_id").orderBy("d", "h", "id"))
+    best = pairs.drop("reach").withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    near = F.struct("d", "h", "id", "v", "copies")
+    listed = (
+        best.drop("h")
+        .join(bounded.select("id", "h", "v", "copies"), "id")
+        .groupBy("q_id")
+        .agg(F.sort_array(F.collect_list(near)).alias("near"))
+    )
     others = F.flatten(
-        F.transform(F.coalesce("near", F.array().cast("array<struct<d:double,v:array<double>,copies:bigint>>")),
-                    lambda n: F.array_repeat(n["v"], F.least(n["copies"], F.lit(k)).cast("int")))
+        F.transform("near", lambda n: F.array_repeat(n["v"], F.least(n["copies"], F.lit(k)).cast("int")))
     )
+    others = F.coalesce(others, F.array().cast("array<array<double>>"))
     own = F.array_repeat(F.col("v"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
-    return bounded.join(listed, F.col("v") == F.col("q"), "left").select(
+    return bounded.join(listed, F.col("id") == F.col("q_id"), "left").select(
         "v", F.slice(F.concat(own, others), 1, k).alias("neighbours")
     )
 
