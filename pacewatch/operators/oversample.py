@@ -5,8 +5,8 @@ all pairs in three steps:
 
 1. Equal vectors collapse to one with a copy count. A vector with more than ``k`` copies
    has only its copies as neighbours and is not searched for.
-2. Vectors sorted along the first principal axis look ``k`` places up and down. The k-th
-   smallest of these distances bounds the true neighbour distance.
+2. Vectors sorted along the first principal axis look a fixed number of places up and
+   down. The k-th smallest of these distances bounds the true neighbour distance.
 3. Each vector meets only the vectors of the grid cells its bound touches, at most eight.
    The grid spans the first three principal axes, and its cell width follows the bound,
    so dense and sparse regions use different grids. A distance along an orthonormal axis
@@ -27,19 +27,17 @@ from pacewatch.session import use_checkpoints
 
 _AXES = 3
 _INDEX_BUCKETS = 1024
+_LOOK_ROWS = 64
 _SORT_RANGE_ROWS = 1000
 _MAX_SORT_RANGES = 4096
 _EVERYWHERE = 1 << 20  # grid level of vectors without a bound: one cell that holds all
 _SLACK = 1e-9  # room for rounding in projections and distances
 
 
-def _distance(a: Column, b: Column, width: int) -> Column:
-    """Euclidean distance, written out per coordinate so that it compiles to plain code."""
-    total = F.lit(0.0)
-    for i in range(width):
-        step = a[i] - b[i]
-        total = total + step * step
-    return F.sqrt(total)
+def _distance(a: Column, b: Column) -> Column:
+    """Euclidean distance. Folding keeps generated code small enough to be compiled."""
+    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
 def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
@@ -67,7 +65,7 @@ def _with_axes(vectors: DataFrame, width: int) -> DataFrame:
     return projected.select("v", "copies", *ps)
 
 
-def _with_bound(vectors: DataFrame, width: int, distinct: int, k: int) -> DataFrame:
+def _with_bound(vectors: DataFrame, distinct: int, k: int) -> DataFrame:
     """Add ``r``, an upper bound of the distance to the k-th other vector, or null."""
     ranges = min(distinct // _SORT_RANGE_ROWS, _MAX_SORT_RANGES)
     if ranges > 1:
@@ -77,21 +75,19 @@ def _with_bound(vectors: DataFrame, width: int, distinct: int, k: int) -> DataFr
         vectors = Bucketizer(splits=splits, inputCol="p0", outputCol="_range").transform(vectors)
     else:
         vectors = vectors.withColumn("_range", F.lit(0.0))
-    along = Window.partitionBy("_range").orderBy("p0", "v")
-    places = {f"_{f.__name__}{i}": f("v", i).over(along) for i in range(1, k + 1) for f in (F.lag, F.lead)}
-    near = [_distance(F.col("v"), F.col(c), width) for c in places]
-    nearest = F.sort_array(F.filter(F.array(*near), lambda d: d.isNotNull()))
-    seen = vectors.withColumns(places).withColumn("r", F.try_element_at(nearest, F.lit(k)))
-    return seen.drop("_range", *places)
+    along = Window.partitionBy("_range").orderBy("p0", "v").rowsBetween(-_LOOK_ROWS, _LOOK_ROWS)
+    close = F.transform("_near", lambda x: _distance(x, F.col("v")))
+    seen = vectors.withColumn("_near", F.collect_list("v").over(along))
+    # The vector itself is among them, at distance 0.
+    return seen.withColumn("r", F.try_element_at(F.sort_array(close), F.lit(k + 1))).drop("_range", "_near")
 
 
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """(v, neighbours): the k nearest rows of each distinct vector, copies counted singly."""
-    spark = vectors.sparkSession
     distinct, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     if distinct == 1:
         return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
-    bounded = _with_bound(_with_axes(vectors, width), width, distinct, k).select(
+    bounded = _with_bound(_with_axes(vectors, width), distinct, k).select(
         "*", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h")
     )
     # Written once: the ids stay what they are in every use below.
@@ -129,18 +125,14 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     same_cell = inside
     for c in grid:
         same_cell = (F.col(c) == F.col(f"_{c}")) & same_cell
-    # Cells are few bytes but much work: a fixed task count keeps them from being merged.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left = left.repartition(tasks, *[f"_{c}" for c in grid])
-    pairs = (
-        left.join(right, same_cell)
-        .select("q_id", "id", "h", "reach", _distance(F.col("q"), F.col("v"), width).alias("d"))
-        .filter("reach is null or d <= reach")
-    )
+    d = _distance(F.col("q"), F.col("v"))
+    # The axis bounds come first: most pairs of a cell fail them before d is computed.
+    close = same_cell & (F.col("reach").isNull() | (d <= F.col("reach")))
+    pairs = left.join(right, close).select("q_id", "id", "h", d.alias("d"))
     # Each task keeps its own k best per vector before the shuffle. Pairs carry ids only;
     # the vectors come back for the few that are left.
     rank = F.row_number().over(Window.partitionBy("q_id").orderBy("d", "h", "id"))
-    best = pairs.drop("reach").withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    best = pairs.withColumn("_rank", rank).filter(F.col("_rank") <= k)
     near = F.struct("d", "h", "id", "v", "copies")
     listed = (
         best.drop("h")
