@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import exact_dedup, simhash_dedup
+from pacewatch.llm import bpe, exact_dedup, simhash_dedup
 from pacewatch.llm.common import table
 
 
+def tokenizer_spec(name: str = "word_bpe_49k.json") -> str:
+    """Content of a tokenizer file on the driver."""
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids and of the decoded text of every document."""
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_spec())
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document; the largest doc_id stays."""
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -22,6 +35,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
