@@ -102,3 +102,42 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000)
         rows = max(rows, 2 * n)
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, skip: int) -> DataFrame:
+    """Texts with labels to learn from: (doc_id, text, label), at most ``per_class`` rows of a label.
+
+    Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no part. Ids are
+    drawn by hash, so reruns agree. The drawn ids are broadcast: their number is bounded.
+    """
+    marks = (
+        only(labels, doc_id="long", **{label: "int"})
+        .filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), folds) != skip))
+        .groupBy("doc_id")
+        .agg(F.max(label).alias("label"))
+    )
+    have = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
+    draw = F.xxhash64("doc_id", F.lit("labelled"))
+    share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
+    drawn = None
+    for value in (0, 1):
+        part = marks.filter((F.col("label") == value) & (share <= per_class / max(1, have.get(value, 0))))
+        part = part.orderBy(draw, "doc_id").limit(per_class)
+        drawn = part if drawn is None else drawn.unionByName(part)
+    return only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id")
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, weights: np.ndarray | None = None) -> np.ndarray:
+    """Coefficients of a logistic regression by Newton's method; ``x`` has its own constant column, if any."""
+    beta = np.zeros(x.shape[1])
+    w = np.ones(len(y)) if weights is None else weights
+    scale = w.sum() or 1.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        gradient = x.T @ (w * (p - y)) / scale + ridge * beta
+        hessian = (x * (w * p * (1 - p))[:, None]).T @ x / scale + ridge * np.eye(len(beta))
+        step = np.linalg.solve(hessian, gradient)
+        beta -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta

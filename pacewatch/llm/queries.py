@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import bpe, exact_dedup, simhash_dedup
-from pacewatch.llm.common import table
+from pacewatch.llm import bpe, exact_dedup, quality, simhash_dedup, toxicity
+from pacewatch.llm.common import fold, table
 
 
 def tokenizer_spec(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +28,29 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
+def _judged(scored: DataFrame, folds: int, held_out: int, cut: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(quality.scored(docs, model), quality.FOLDS, quality.HELD_OUT, 0.5)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(toxicity.scored(docs, model), toxicity.FOLDS, toxicity.HELD_OUT, 0.7)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near duplicates of every document."""
     groups = simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
@@ -37,6 +60,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
