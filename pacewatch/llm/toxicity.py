@@ -31,6 +31,8 @@ PREFIXES = (6, 5, 4)
 EVIDENCE = 4
 #: Least z-value of a log-odds that counts.
 SIGNIFICANT = 3.0
+#: Least weight, after caution, that counts.
+LEAST = 1.5
 #: Weight of a token without significant log-odds.
 NEUTRAL = -0.7
 #: Dirichlet prior of either class: so many pseudo-occurrences of each unit, and so many
@@ -101,15 +103,25 @@ class ToxicityModel:
         odd = [(i, x) for i, w in enumerate(words) if (x := kept[w] if w in kept else weight(w)) != NEUTRAL]
         return len(words), segments(odd, NEUTRAL)
 
-    def significance(self, weight: float, words: int) -> float:
-        """-ln of the chance that clean text of as many words has a segment as heavy."""
-        expected = math.exp(min(50.0, self.log_k + math.log(max(1, words)) - self.scale * weight))
-        return -math.log(max(1e-300, -math.expm1(-expected)))
+    def significance(self, weights: list[float], words: int) -> float:
+        """-ln of the chance that clean text of as many words has segments as heavy.
+
+        By the extreme-value law for the sum of the r heaviest segments, at the best r.
+        """
+        space = self.log_k + math.log(max(1, words))
+        best = total = 0.0
+        for r, weight in enumerate(sorted(weights, reverse=True), 1):
+            total += self.scale * weight - space
+            if total <= 0:
+                break
+            bits = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r)
+            best = max(best, min(total, bits) if r > 1 else -math.log(-math.expm1(-math.exp(-total))))
+        return best
 
     def measure(self, text: str) -> float:
-        """Significance of the heaviest segment; 0 where there is none."""
+        """Significance of the document's segments together; 0 where there is none."""
         n, found = self.scan(text)
-        return self.significance(max(w for _, _, w in found), n) if found else 0.0
+        return self.significance([w for _, _, w in found], n)
 
     def score(self, text: str) -> float:
         a, b = self.curve
@@ -118,7 +130,7 @@ class ToxicityModel:
     def passages(self, text: str, chance: float = 0.01) -> list[tuple[int, int, float]]:
         """Every segment (first word, last word, weight) rarer than ``chance`` in clean text."""
         n, found = self.scan(text)
-        return [x for x in found if self.significance(x[2], n) > -math.log(chance)]
+        return [x for x in found if self.significance([x[2]], n) > -math.log(chance)]
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -170,7 +182,7 @@ def _weights(counts: DataFrame) -> dict[str, float]:
     delta = side("toxic", totals[0]) - side("other", totals[1])
     sigma = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("other") + alpha))
     weight = delta - CAUTION * sigma
-    judged = settled(judged.select("word", weight.alias("weight"), ((delta >= SIGNIFICANT * sigma) & (weight > 0)).alias("bad")))
+    judged = settled(judged.select("word", weight.alias("weight"), ((delta >= SIGNIFICANT * sigma) & (weight >= LEAST)).alias("bad")))
     bad = {r["word"]: r["weight"] for r in judged.filter("bad").collect()}
     stems = [w[1:] for w in bad if w.startswith("^")]
     if stems:
@@ -235,10 +247,10 @@ def _least(model: ToxicityModel) -> float:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
     """Learn from a bounded sample of labelled rows outside the held-out fold.
 
-    Two thirds of the sample give the token weights, the rest the calibration.
+    Four fifths of the sample give the token weights, the rest the calibration.
     """
     sample = settled(labelled_sample(docs, labels, "toxic", per_class, FOLDS, HELD_OUT))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(5))
     model = ToxicityModel(_weights(settled(_counts(sample.filter(part != 0)))))
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
