@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import bpe, exact_dedup, quality, simhash_dedup, toxicity
+from pacewatch.llm import bpe, exact_dedup, mixing, quality, simhash_dedup, toxicity
 from pacewatch.llm.common import fold, table
 
 
@@ -17,6 +17,12 @@ def tokenizer_spec(name: str = "word_bpe_49k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    mix = mixing.mixed(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_spec())
@@ -58,6 +64,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
