@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import bpe, exact_dedup, mixing, quality, simhash_dedup, toxicity
+from pacewatch.llm import bpe, exact_dedup, mixing, quality, simhash_dedup, topk, toxicity
 from pacewatch.llm.common import fold, table
 
 
@@ -50,6 +50,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.scored(docs, model), quality.FOLDS, quality.HELD_OUT, 0.5)
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every query vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -68,11 +73,28 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_topk_search": op8_topk_search,
     "op9_toxicity": op9_toxicity,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLES = {
+    "op8_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.w, b.w), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v AS a, v AS b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        r AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op6_exact_dedup": """
         WITH t AS (
             SELECT doc_id,
