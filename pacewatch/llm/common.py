@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write wide rows as a compressed table in the shared checkpoint folder and read them from there."""
+    path = f"{use_checkpoints(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """Just the named columns, cast: columns of other names cannot clash with an operator's own."""
     return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in columns.items()))

@@ -115,7 +115,8 @@ class ToxicityModel:
             if total <= 0:
                 break
             bits = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r)
-            best = max(best, min(total, bits) if r > 1 else -math.log(-math.expm1(-math.exp(-total))))
+            alone = total if total > 30 else -math.log(-math.expm1(-math.exp(-total)))
+            best = max(best, min(total, bits) if r > 1 else alone)
         return best
 
     def measure(self, text: str) -> float:
