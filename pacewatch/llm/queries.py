@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import bpe, exact_dedup, mixing, quality, simhash_dedup, topk, toxicity
+from pacewatch.llm import bpe, exact_dedup, lm_score, mixing, quality, simhash_dedup, topk, toxicity
 from pacewatch.llm.common import fold, table
 
 
@@ -23,6 +23,11 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model log-probabilities of every document."""
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_spec())
@@ -70,6 +75,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
