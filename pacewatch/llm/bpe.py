@@ -217,6 +217,15 @@ def encoded(docs: DataFrame, spec: str) -> DataFrame:
     return _mapped(docs, spec, "ids array<int>, decoded string", row)
 
 
+def tokenized(docs: DataFrame, spec: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of every row; see ``encoded``."""
+
+    def row(ids: bytes, decoded: str) -> tuple:
+        return len(ids) // 4, array("i", ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    return _mapped(docs, spec, "n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", row)
+
+
 def digests(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; see ``encoded``."""
 

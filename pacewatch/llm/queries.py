@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewatch.llm import bpe, exact_dedup, lm_score, mixing, quality, simhash_dedup, topk, toxicity
+from pacewatch.llm import bpe, exact_dedup, license_scan, line_dedup, lm_score, mixing, quality, simhash_dedup, topk, toxicity
 from pacewatch.llm.common import fold, table
 
 
@@ -33,6 +33,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_spec())
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many are later copies, and the digest of what stays."""
+    docs = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return docs.select("doc_id", "n_lines", "n_deleted", digest.alias("text_sha256"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate blocks of every document and the licences that their wording confirms."""
+    found = license_scan.licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_blocks", F.array_join("licenses", ",").alias("licenses"), "matches")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document; the largest doc_id stays."""
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -77,6 +90,8 @@ QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_bpe": op3_bpe,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_topk_search": op8_topk_search,
