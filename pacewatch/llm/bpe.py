@@ -17,6 +17,7 @@ import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -212,7 +213,7 @@ def encoded(docs: DataFrame, spec: str) -> DataFrame:
     """
 
     def row(ids: bytes, decoded: str) -> tuple:
-        return array("i", ids), decoded
+        return np.frombuffer(ids, np.int32), decoded
 
     return _mapped(docs, spec, "ids array<int>, decoded string", row)
 
@@ -221,7 +222,7 @@ def tokenized(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of every row; see ``encoded``."""
 
     def row(ids: bytes, decoded: str) -> tuple:
-        return len(ids) // 4, array("i", ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        return len(ids) // 4, np.frombuffer(ids, np.int32), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     return _mapped(docs, spec, "n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", row)
 
