@@ -109,16 +109,24 @@ def zscore(x: ColumnOrName, mean: ColumnOrName, sd: ColumnOrName) -> Column:
 # -- decisions -------------------------------------------------------------------
 
 
+def _decided(p: ColumnOrName) -> Column:
+    """False where there is no probability to decide on."""
+    return col(p).isNotNull() & ~F.isnan(col(p))
+
+
 def risk_level(p: ColumnOrName, threshold: float = DECISION_THRESHOLD) -> Column:
+    """Null without a probability."""
     return (
-        F.when(col(p) >= HIGH_RISK_THRESHOLD, "HIGH")
+        F.when(~_decided(p), F.lit(None))
+        .when(col(p) >= HIGH_RISK_THRESHOLD, "HIGH")
         .when(col(p) >= threshold, "MEDIUM")
         .otherwise("LOW")
     )
 
 
 def decision(p: ColumnOrName, threshold: float = DECISION_THRESHOLD) -> Column:
-    return F.when(col(p) >= threshold, "DECLINE").otherwise("APPROVE")
+    """Null without a probability: nothing is approved by default."""
+    return F.when(~_decided(p), F.lit(None)).when(col(p) >= threshold, "DECLINE").otherwise("APPROVE")
 
 
 def feature_source(fields: ColumnOrName) -> Column:

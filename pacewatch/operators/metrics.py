@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewatch.schema import DECISION_THRESHOLD
+from pacewatch.session import use_checkpoints
 
 # Score ranges ranked independently. Ranges hold about equally many distinct scores.
 # A range is found in three steps of at most ten comparisons.
@@ -168,13 +169,17 @@ def evaluate(
     label: str = "is_fraud",
 ) -> DataFrame:
     """(metric, value) rows of all quality figures and the test-set sizes."""
+    # A prediction may stand behind the scores: it runs once, and all parts read its two columns.
+    use_checkpoints(scored.sparkSession)
+    scored = scored.select(score, label).checkpoint()
     sizes = scored.agg(
         F.count(F.lit(1)).cast("double").alias("test_size"),
         F.coalesce(F.sum(F.col(label)), F.lit(0)).cast("double").alias("test_positives"),
     )
+    curve = score_curve(scored, score=score, label=label).checkpoint()
     parts = [
-        roc_auc(scored, score=score, label=label),
-        average_precision(scored, score=score, label=label),
+        _area(curve),
+        _precision_area(curve),
         threshold_metrics(scored, threshold, score, label),
         sizes,
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -69,31 +71,33 @@ def write_online(
     batch: int = ONLINE_FLUSH_ROWS,
     ttl: int = ONLINE_TTL_SECONDS,
 ) -> None:
-    """Push rows to a key-value store: one client per task, one flush per ``batch`` accounts.
+    """Push rows to a key-value store: one client per task, one pipeline per ``batch`` accounts.
 
     ``make_client`` runs on executors and returns an object with the usual pipeline calls
     (``pipeline``, ``hset``, ``expire``, ``execute``, ``close``). Writing a row twice gives
-    the same hash, so a retried task does no harm.
+    the same hash, so neither a retried task nor a chunk that is sent once more after a
+    lost connection does harm.
     """
 
-    def push(rows: Iterator[Row]) -> None:
-        client = make_client()
-        try:
-            pipe = client.pipeline(transaction=False)
-            waiting = 0
-            for row in rows:
-                pipe.hset(row["key"], mapping=row["fields"])
-                pipe.expire(row["key"], ttl)
-                waiting += 1
-                if waiting == batch:
-                    pipe.execute()
-                    waiting = 0
-            if waiting:
-                pipe.execute()
-        finally:
-            client.close()
-
-    hashes.select("key", "fields").foreachPartition(push)
+    def send(client, rows: tuple[Row, ...]) -> None:
+        for last_try in (False, True):
+            try:
+                commands = client.pipeline(transaction=False)
+                for key, fields in rows:
+                    commands.hset(key, mapping=fields)
+                    commands.expire(key, ttl)
+                commands.execute()
+                return
+            except (ConnectionError, TimeoutError):
+                if last_try:
+                    raise
+
+    def write_partition(rows: Iterator[Row]) -> None:
+        with contextlib.closing(make_client()) as client:
+            for chunk in itertools.batched(rows, batch):
+                send(client, chunk)
+
+    hashes.select("key", "fields").foreachPartition(write_partition)
 
 
 def lookup_features(

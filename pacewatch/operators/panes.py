@@ -196,7 +196,8 @@ def paned_rolling(
             return F.col(f"hi_{w}")
         if agg == "min":
             return F.col(f"lo_{w}")
-        flat = F.col(f"hi_{w}") == F.col(f"lo_{w}")
+        # NaN equals NaN here, but neither NaN nor an infinity has a spread of zero.
+        flat = (F.col(f"hi_{w}") == F.col(f"lo_{w}")) & (F.abs(f"hi_{w}") < float("inf"))
         return F.when((n > 1) & flat, F.lit(0.0)).when(n > 1, F.sqrt(F.col(f"m2_{w}") / (n - 1)))
 
     framed = framed.select(

@@ -108,6 +108,13 @@ def check_schema(df: DataFrame, required: Sequence[str] = ACCOUNT_FEATURE_COLUMN
     return df.sparkSession.createDataFrame(missing, "missing_column string")
 
 
+def contract_report(df: DataFrame, required: Sequence[str] = ACCOUNT_FEATURE_COLUMNS) -> DataFrame:
+    """The schema contract as one row of a check report: how many required columns are missing."""
+    return check_schema(df, required).agg(
+        F.lit("required_columns").alias("check"), F.lit("*").alias("column"), F.count(F.lit(1)).alias("failures")
+    )
+
+
 def freshness(df: DataFrame, column: str = "_ingested_at", now: Column | None = None) -> DataFrame:
     """Newest arrival and its age in seconds."""
     clock = F.current_timestamp() if now is None else now

@@ -20,13 +20,20 @@ PROBABILITY_DIGITS = 4
 
 
 def validate(txns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): a request needs both ids and a positive amount."""
-    valid = (
-        F.col("transaction_id").isNotNull()
-        & F.col("user_id").isNotNull()
-        & F.coalesce(F.col("amount") > 0, F.lit(False))
+    """(accepted, rejected): a request needs both ids and a positive amount that is a number."""
+    reason = refusal()
+    return txns.filter(reason.isNull()), txns.filter(reason.isNotNull())
+
+
+def refusal() -> Column:
+    """Why a request is refused, or null."""
+    amount = F.col("amount").cast("double")
+    return (
+        F.when(F.col("transaction_id").isNull(), "no transaction_id")
+        .when(F.col("user_id").isNull(), "no user_id")
+        .when(amount.isNull() | F.isnan(amount), "amount is not a number")
+        .when(amount <= 0, "amount is not positive")
     )
-    return txns.filter(valid), txns.filter(~valid)
 
 
 def proxy_vector(
@@ -69,20 +76,30 @@ def proxy_vector(
     return df.select(*rest, *[values[c].alias(c) for c in MODEL_COLUMNS])
 
 
+def population_defaults(profiles: DataFrame) -> dict[str, float]:
+    """Means of the profiles, as defaults for accounts without one; one row leaves the cluster."""
+    names = [c for c in PROFILE_DEFAULTS if c in profiles.columns]
+    means = profiles.agg(*[F.avg(c).alias(c) for c in names]).first()
+    return {c: float(means[c]) if c in names and means[c] is not None else d for c, d in PROFILE_DEFAULTS.items()}
+
+
 def score(
     txns: DataFrame,
     hashes: DataFrame,
     predict: Callable[[DataFrame], DataFrame],
     threshold: float = DECISION_THRESHOLD,
     now: Column | None = None,
+    defaults: Mapping[str, float] = PROFILE_DEFAULTS,
 ) -> DataFrame:
-    """One decision per valid transaction; works on a batch or on a stream of requests.
+    """One row per valid transaction; works on a batch or on a stream of requests.
 
     ``predict`` adds ``probability`` to a frame that holds the model columns. Decisions
-    use the exact probability, only the reported one is rounded.
+    use the exact probability, only the reported one is rounded. Without a probability
+    the decision is null. ``defaults`` stand in for missing profile fields; see
+    :func:`population_defaults`.
     """
     accepted, _ = validate(txns)
-    vectors = proxy_vector(lookup_features(accepted, hashes, now))
+    vectors = proxy_vector(lookup_features(accepted, hashes, now), defaults=defaults)
     p = F.col("probability")
     return predict(vectors).select(
         "transaction_id",
@@ -91,13 +108,22 @@ def score(
         F.round(p, PROBABILITY_DIGITS).alias("fraud_probability"),
         risk_level(p, threshold).alias("risk_level"),
         decision(p, threshold).alias("decision"),
+        F.lit(float(threshold)).alias("threshold"),
         feature_source("fields").alias("feature_source"),
     )
 
 
-def audit_records(
-    scored: DataFrame, threshold: float = DECISION_THRESHOLD, now: Column | None = None
-) -> DataFrame:
+def rejects(txns: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """(transaction_id, user_id, amount, reason) of every request that got no decision."""
+    columns = ["transaction_id", "user_id", F.col("amount").cast("double").alias("amount")]
+    refused = txns.select(*columns, refusal().alias("reason")).filter("reason is not null")
+    if scored is None:
+        return refused
+    undecided = scored.filter("decision is null").select(*columns, F.lit("no probability").alias("reason"))
+    return refused.unionByName(undecided)
+
+
+def audit_records(scored: DataFrame, now: Column | None = None) -> DataFrame:
     """Scored rows -> one JSON text each, for an append-only decision log."""
     clock = F.current_timestamp() if now is None else now.cast("timestamp")
     at = F.date_format(F.to_utc_timestamp(clock, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -108,7 +134,7 @@ def audit_records(
         "amount",
         "fraud_probability",
         "decision",
-        F.lit(threshold).alias("threshold"),
+        "threshold",
         "feature_source",
         at.alias("timestamp"),
     )

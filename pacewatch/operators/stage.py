@@ -31,19 +31,32 @@ def dedupe_first(
     return df.withColumn("_dedupe_rank", first).filter("_dedupe_rank = 1").drop("_dedupe_rank")
 
 
+def arrival(bronze: DataFrame) -> Column:
+    """What orders the deliveries of an id: time of arrival, then topic position or a whole-row hash."""
+    offsets = ["_kafka_partition", "_kafka_offset"]
+    if all(c in bronze.columns for c in offsets):
+        ties = [F.col(c).cast("long") for c in offsets]
+    else:
+        ties = [F.lit(0).cast("long"), F.xxhash64(*bronze.columns)]
+    return F.struct(F.col("_ingested_at").alias("at"), ties[0].alias("part"), ties[1].alias("place"))
+
+
+def staged_columns(first: DataFrame, *keep: str) -> DataFrame:
+    """Deduplicated raw rows -> staged columns, and those to keep."""
+    derived = {
+        "event_time_unix": epoch_seconds("event_time"),
+        "event_date": event_date("event_time"),
+    }
+    names = [derived[c].alias(c) if c in derived else F.col(c) for c in STAGED_COLUMNS]
+    return first.select(*names, *keep)
+
+
 def stage(bronze: DataFrame) -> DataFrame:
     """Raw table -> deduplicated transactions with epoch seconds and date.
 
     Partition and offset of the source topic, where present, settle equal arrival times.
     """
-    arrival = ["_ingested_at"]
     offsets = ["_kafka_partition", "_kafka_offset"]
     known = all(c in bronze.columns for c in offsets)
-    first = dedupe_first(
-        bronze, "transaction_id", arrival + offsets if known else arrival, unique_order=known
-    )
-    derived = {
-        "event_time_unix": epoch_seconds("event_time"),
-        "event_date": event_date("event_time"),
-    }
-    return first.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in STAGED_COLUMNS])
+    order = ["_ingested_at", *offsets] if known else ["_ingested_at"]
+    return staged_columns(dedupe_first(bronze, "transaction_id", order, unique_order=known))

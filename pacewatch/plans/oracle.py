@@ -156,6 +156,20 @@ def _profiles_out(fill: bool) -> str:
 
 _ALL_PROFILES = f"WITH {_FEATURES},{_profiles('features')}"
 _PAST = f"{_FEATURES},{_profiles('features', f'WHERE event_time < {_NOW}')}"
+# Events with missing accounts and bad labels; unreadable ones are set aside before staging.
+_QUARANTINED = (
+    _FEATURES.replace("bronze AS (", "arrived AS (", 1)
+    .replace(
+        "staged AS (",
+        """bronze AS (
+  SELECT * REPLACE (CASE WHEN V1 <= 3.5 THEN user_id END AS user_id,
+                    CAST(CASE WHEN V2 > 3.5 THEN 2 ELSE is_fraud END AS INTEGER) AS is_fraud) FROM arrived
+),
+staged AS (""",
+        1,
+    )
+    .replace("AS n FROM bronze", "AS n FROM bronze WHERE user_id IS NOT NULL", 1)
+)
 _FIELDS = ["total_txn_count", "last_transaction_time", "max_velocity_1h", *_PROFILE_DOUBLES]
 
 
@@ -304,7 +318,7 @@ hashes AS (
   FROM profiles
 ),
 requests AS (
-  SELECT transaction_id, user_id, amount - 5 AS amount, {_VS} FROM tx WHERE event_time >= {_NOW}
+  SELECT transaction_id, user_id, amount - 5 AS amount, {_VS} FROM tx
 ),
 found AS (
   SELECT r.*, h.user_id IS NOT NULL AS known,
@@ -420,7 +434,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'f1', round(f1, 6) FROM tm
         UNION ALL SELECT 'test_size', CAST(count(*) AS DOUBLE) FROM flags
         UNION ALL SELECT 'test_positives', CAST(sum(a) AS DOUBLE) FROM flags""",
-    "online_hashes": f"WITH {_PAST} " + " UNION ALL ".join(_entry(f) for f in _FIELDS),
+    "online_hashes": f"{_ALL_PROFILES} " + " UNION ALL ".join(_entry(f) for f in _FIELDS),
     "online_merge": f"WITH {_MERGE} "
     + " UNION ALL ".join(
         [_merged("max_amount_all_time", "mx"), _merged("seen_before", "seen"), _merged("total_txn_count", "n")]
@@ -438,6 +452,10 @@ ORACLES: dict[str, str] = {
         {_r("p", 4, "fraud_probability")},
         CASE WHEN p >= 0.5 THEN 'HIGH' WHEN p >= 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
         {_DECISION}, {_SOURCE} FROM ruled""",
+    "score_stream": f"""WITH {_ONLINE} SELECT transaction_id, user_id, amount,
+        {_r("p", 4, "fraud_probability")},
+        CASE WHEN p >= 0.5 THEN 'HIGH' WHEN p >= 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+        {_DECISION}, {_SOURCE} FROM ruled""",
     "audit_log": f"""WITH {_ONLINE} SELECT 'fraud_decision' AS event, transaction_id, user_id, amount,
         {_r("p", 4, "fraud_probability")}, {_DECISION}, 0.3::DOUBLE AS threshold, {_SOURCE},
         '2024-01-25T00:00:00Z' AS timestamp FROM ruled""",
@@ -448,13 +466,14 @@ ORACLES: dict[str, str] = {
         SELECT CAST(0 AS INTEGER) AS is_fraud, many AS rows FROM sizes
         UNION ALL
         SELECT CAST(1 AS INTEGER), greatest(few, CAST(floor(many * 0.1::DOUBLE) AS BIGINT)) FROM sizes""",
-    "refresh_report": f"WITH {_FEATURES},{_profiles('features')} "
+    "refresh_report": f"WITH {_QUARANTINED},{_profiles('features')} "
     + " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", * FROM ({sql})"
+        f"SELECT '{name}' AS \"table\", *, false AS published FROM ({sql})"
         for name, sql in (
             ("bronze", _checks(_BRONZE_CHECKS, "bronze")),
             ("transaction_features", _checks(_FEATURE_CHECKS, "features", "transaction_id")),
             ("account_features", _checks(_PROFILE_CHECKS, "profiles", "user_id")),
+            ("account_contract", "SELECT 'required_columns' AS \"check\", '*' AS \"column\", CAST(0 AS BIGINT) AS failures"),
         )
     ),
 }

@@ -126,9 +126,8 @@ def _hashes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Transactions from NOW on, the smallest with amounts of zero or less."""
-    later = adapter.transactions(spark, sf).filter(F.col("event_time") >= _now())
-    return later.select("transaction_id", "user_id", (F.col("amount") - 5).alias("amount"), *V_COLUMNS)
+    """All transactions as requests, the smallest with amounts of zero or less."""
+    return adapter.transactions(spark, sf).select("transaction_id", "user_id", (F.col("amount") - 5).alias("amount"), *V_COLUMNS)
 
 
 def _rule(df: DataFrame) -> DataFrame:
@@ -413,7 +412,7 @@ def evaluate(spark, sf):
 
 
 def online_hashes(spark, sf):
-    rows = online.to_online_hashes(_profiles(spark, sf), now=_now())
+    rows = online.to_online_hashes(feat.account_features(_features(spark, sf)), now=_now())
     return rows.select(
         "key", F.explode("fields").alias("field", "text"), text_time("expires_at").alias("expires_at")
     ).select("key", "field", F.round(F.col("text").cast("double"), 8).alias("value"), "expires_at")
@@ -466,7 +465,29 @@ def proxy_vector(spark, sf):
 
 
 def score_rule(spark, sf):
-    return serving.score(_requests(spark, sf), _hashes(spark, sf), _rule, now=_now())
+    scored = serving.score(_requests(spark, sf), _hashes(spark, sf), _rule, now=_now())
+    return scored.drop("threshold")
+
+
+def score_stream(spark, sf):
+    """The same requests as a stream in two runs, with the profiles overwritten in between."""
+    path = scratch(spark)
+    asked = _requests(spark, sf)
+    profiles = _hashes(spark, sf).checkpoint()
+    for part in range(2):
+        profiles.write.mode("overwrite").parquet(f"{path}/profiles")
+        half = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == part
+        asked.filter(half).write.mode("append").parquet(f"{path}/requests")
+        live.start_scoring(
+            spark.readStream.schema(asked.schema).parquet(f"{path}/requests"),
+            lambda s: s.read.parquet(f"{path}/profiles"),
+            _rule,
+            f"{path}/out",
+            f"{path}/checkpoint",
+            mode="once",
+            now=_now(),
+        ).awaitTermination()
+    return spark.read.parquet(f"{path}/out/scored").drop("threshold", "batch_id")
 
 
 def audit_log(spark, sf):
@@ -524,14 +545,18 @@ def importances(spark, sf):
 
 
 def refresh_report(spark, sf):
-    """All scheduled steps on files; the report lists every data check."""
+    """All scheduled steps on dirty events; the report lists every check, and nothing is published."""
     path = scratch(spark)
     name = f"profiles_{uuid.uuid4().hex}"
-    report = run_refresh(spark, adapter.bronze(spark, sf), path, name)
-    rows = report.select("table", "check", "column", "failures")
-    result = rows.checkpoint() if use_checkpoints(spark) else rows
+    dirty = adapter.bronze(spark, sf).withColumns(
+        {
+            "user_id": F.when(F.col("V1") <= 3.5, F.col("user_id")),
+            "is_fraud": F.when(F.col("V2") > 3.5, 2).otherwise(F.col("is_fraud")),
+        }
+    )
+    report = run_refresh(spark, dirty, path, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return result
+    return report.select("table", "check", "column", "failures", "published")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -577,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lookup,
         proxy_vector,
         score_rule,
+        score_stream,
         audit_log,
         rejected,
         smote_counts,

@@ -98,39 +98,114 @@ def test_incremental_gap_reaches_beyond_the_windows(spark, sf_dir):
     assert gaps == {"x20": 20 * 86400, "x45": 25 * 86400}
 
 
-def test_live_batches_equal_rebuild_even_when_a_batch_is_retried(spark, sf_dir, tmp_path):
-    raw = adapter.bronze(spark, sf_dir).withColumn("_n", F.pmod(F.xxhash64("transaction_id"), F.lit(3)))
+def test_incremental_step_keeps_rows_without_time_or_account(spark, sf_dir):
+    staged = stage(adapter.bronze(spark, sf_dir))
+    no_time, no_user = F.col("V8") > 3.6, F.col("V9") > 3.6
+    holes = staged.withColumns(
+        {
+            **{c: F.when(~no_time, F.col(c)) for c in ("event_time", "event_time_unix", "event_date")},
+            "user_id": F.when(~no_user, F.col("user_id")),
+        }
+    ).checkpoint()
+    assert holes.filter("event_date is null").count() and holes.filter("user_id is null").count()
+    for is_fresh in (F.expr("V3 > 3"), no_time | no_user):
+        before = features.transaction_features(holes.filter(~is_fresh))
+        changed = incremental_features(holes, holes.filter(is_fresh))
+        assert same(merge_features(before, changed), features.transaction_features(holes))
+
+
+def test_incremental_step_prunes_partitions_by_date(spark, sf_dir, tmp_path):
+    stage(adapter.bronze(spark, sf_dir)).write.partitionBy("event_date").parquet(str(tmp_path / "s"))
+    staged = spark.read.parquet(str(tmp_path / "s"))
+    read = staged.filter(F.col("event_date").isin(["2024-01-05"]) | F.col("event_date").isNull())
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_live_batches_equal_rebuild_in_any_order(spark, sf_dir, tmp_path, order):
+    """Batches are cut by arrival, so the reversed orders bring earlier arrivals of known ids."""
+    raw = adapter.bronze(spark, sf_dir)
+    day = F.dayofmonth("_ingested_at")
+    raw = raw.withColumn("_n", F.when(F.hour("_ingested_at") < 8, 0).when(day < 15, 1).otherwise(2)).checkpoint()
     staged, out = str(tmp_path / "staged"), str(tmp_path / "features")
-    for batch_id in (0, 1, 1, 2):
-        live.update_features(raw.filter(F.col("_n") == batch_id).drop("_n"), batch_id, staged, out)
+    batch = 0
+    for i, part in enumerate(order):
+        live.update_features(raw.filter(F.col("_n") == part).drop("_n"), batch, staged, out)
+        batch += order[i + 1 : i + 2] != (part,)
     # The same events once more change nothing.
-    live.update_features(raw.filter("_n = 0").drop("_n"), 3, staged, out)
+    live.update_features(raw.filter("_n = 0").drop("_n"), batch, staged, out)
     full = features.transaction_features(stage(raw.drop("_n")))
     current = live.current_features(spark, out)
     assert same(current.select(*full.columns), full)
+    live.compact_features(spark, out, str(tmp_path / "compact"))
+    assert same(live.current_features(spark, str(tmp_path / "compact")).select(*full.columns), full)
+
+
+def test_live_survives_a_first_batch_that_crashed(spark, sf_dir, tmp_path):
+    staged, out = tmp_path / "staged", str(tmp_path / "features")
+    for name in ("rows", "ids", "gone"):
+        (staged / name / "batch_id=0" / "_temporary").mkdir(parents=True)
+    raw = adapter.bronze(spark, sf_dir)
+    live.update_features(raw, 0, str(staged), out)
+    assert live.current_features(spark, out).count() == stage(raw).count()
+
 
+def test_scoring_stream_sees_new_profiles_and_records_everything(spark, tmp_path):
+    schema = "transaction_id string, user_id string, amount double"
 
-def test_scoring_stream(spark, tmp_path):
-    requests = spark.createDataFrame([("a", "u1", 5000.0), ("b", "u2", 3.0), ("c", "u3", -1.0)], "transaction_id string, user_id string, amount double")
-    requests.write.parquet(str(tmp_path / "in"))
-    hashes = spark.sql("select 'user_features:u1' key, map('avg_amount_all_time', '10') fields, current_timestamp() + interval 1 day expires_at")
-    stream = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "in"))
+    def ask(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def profiles(key):
+        one = f"select 'user_features:{key}' key, map('avg_amount_all_time', '10') fields, current_timestamp() + interval 1 day expires_at"
+        spark.sql(one).write.mode("overwrite").parquet(str(tmp_path / "p"))
 
     def rule(df):
-        return df.withColumn("probability", F.when(F.col("amount") > 1000, 0.95).otherwise(0.05))
+        p = F.when(F.col("amount") > 1000, 0.95).when(F.col("amount") > 1, 0.05)
+        return df.withColumn("probability", p)
+
+    def drain():
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        live.start_scoring(
+            stream, lambda s: s.read.parquet(str(tmp_path / "p")), rule, str(tmp_path / "out"), str(tmp_path / "c"), mode="once"
+        ).awaitTermination()
+
+    profiles("u1")
+    ask(("a", "u1", 5000.0), ("b", "u2", 3.0), ("c", "u3", -1.0), ("d", "u4", float("nan")), ("e", "u5", 0.5))
+    drain()
+    profiles("u2")
+    ask(("f", "u2", 2.0))
+    drain()
+    got = {r.transaction_id: (r.decision, r.feature_source) for r in spark.read.parquet(str(tmp_path / "out/scored")).collect()}
+    assert got == {"a": ("DECLINE", "online"), "b": ("APPROVE", "cold_start"), "f": ("APPROVE", "online")}
+    audit = [json.loads(r.record) for r in spark.read.parquet(str(tmp_path / "out/audit")).collect()]
+    assert {r["transaction_id"] for r in audit} == set(got) and {r["threshold"] for r in audit} == {0.3}
+    refused = {r.transaction_id: r.reason for r in spark.read.parquet(str(tmp_path / "out/rejects")).collect()}
+    assert refused == {"c": "amount is not positive", "d": "amount is not a number", "e": "no probability"}
+
 
-    live.start_scoring(stream, hashes, rule, str(tmp_path / "out"), str(tmp_path / "c"), mode="once").awaitTermination()
-    got = {r.transaction_id: (r.decision, r.feature_source) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {"a": ("DECLINE", "online"), "b": ("APPROVE", "cold_start")}
+def published(path):
+    return json.loads(next((path / "current").glob("part-*")).read_text())["version"] if (path / "current").exists() else None
 
 
-def test_refresh_writes_every_table_and_passes_its_checks(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "run")
+def test_refresh_publishes_only_what_is_clean(spark, sf_dir, tmp_path):
+    raw = adapter.bronze(spark, sf_dir)
     try:
-        report = run_refresh(spark, adapter.bronze(spark, sf_dir), path, "refreshed_profiles").collect()
-        assert {r.failures for r in report} == {0}
-        assert spark.read.parquet(f"{path}/online_hashes").count() == spark.read.table("refreshed_profiles").count()
-        staged = spark.read.parquet(f"{path}/staged").count()
-        assert spark.read.parquet(f"{path}/transaction_features").count() == staged
+        report = run_refresh(spark, raw, str(tmp_path), "refreshed_profiles").collect()
+        assert {r.failures for r in report} == {0} and {r.published for r in report} == {True}
+        first = published(tmp_path)
+        assert spark.read.parquet(f"{first}/online_hashes").count() == spark.read.table("refreshed_profiles").count()
+        # An unreadable message is set aside; it stops nothing and enters nothing.
+        broken = raw.limit(1).withColumns({"transaction_id": F.lit(None).cast("string"), "user_id": F.lit(None).cast("string")})
+        report = run_refresh(spark, raw.unionByName(broken), str(tmp_path), "refreshed_profiles").collect()
+        second = published(tmp_path)
+        assert second != first and spark.read.parquet(f"{second}/quarantine").count() == 1
+        assert {r.published for r in report} == {True}
+        # A bad label does stop the run before anything is registered or published.
+        bad = raw.withColumn("is_fraud", F.when(F.col("V1") > 3.9, 2).otherwise(F.col("is_fraud")))
+        report = run_refresh(spark, bad, str(tmp_path), "refreshed_profiles").collect()
+        assert {r.published for r in report} == {False} and any(r.failures for r in report)
+        assert published(tmp_path) == second
     finally:
         spark.sql("DROP TABLE IF EXISTS refreshed_profiles")
