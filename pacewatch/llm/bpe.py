@@ -27,11 +27,15 @@ from pacewatch.llm.common import bounded_batches, column_of, only
 #: White space as the tokenizer file's ``\\s`` has it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Distinct words whose encodings a task keeps before it starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
+#: Rows of a batch that goes back to Spark.
+ROWS_OUT = 500
 #: Longest chain of prefix states that is worked out at a time.
 DEEP = 64
 #: Neighbour checks that a task keeps.
-KEPT_CHECKS = 2_000_000
+KEPT_CHECKS = 300_000
+#: Characters of the texts whose words are held at a time.
+HELD_CHARS = 2 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -169,6 +173,14 @@ class TextEncoder:
 
     def run(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
+        start = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= HELD_CHARS or i == len(texts) - 1:
+                yield from self._some(texts[start : i + 1])
+                start, size = i + 1, 0
+
+    def _some(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         cut = [list(self.trie.words(text)) for text in texts]
         new = set().union(*cut) - self.known.keys()
         if len(self.known) + len(new) > KEPT_WORDS:
@@ -197,8 +209,12 @@ def _mapped(docs: DataFrame, spec: str, schema: str, row: Callable[[bytes, str],
         encoder = TextEncoder(shared.value)
         for batch in batches:
             texts = [x or "" for x in column_of(batch, "text").to_pylist()]
-            columns = list(zip(*(row(*x) for x in encoder.run(texts)))) or [()] * (len(names) - 1)
-            yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), *map(pa.array, columns)], names=names)
+            rows = [row(*x) for x in encoder.run(texts)]
+            # Token ids take more room than their text: they go out in several batches.
+            for a in range(0, len(rows), ROWS_OUT):
+                some = rows[a : a + ROWS_OUT]
+                keys = column_of(batch, "doc_id").slice(a, len(some))
+                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, zip(*some))], names=names)
 
     bounded_batches(docs.sparkSession)
     return only(docs, doc_id="long", text="string").mapInArrow(run, f"doc_id long, {schema}")
