@@ -10,6 +10,7 @@ The last symbol of a word is another one (it carries the word end), hence a leaf
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -22,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pacewatch.llm.common import bounded_batches, column_of, only
+from pacewatch.llm.common import bounded_batches, column_of, given_back, only
 
 #: White space as the tokenizer file's ``\\s`` has it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -200,14 +201,20 @@ class TextEncoder:
         self.known[word] = packed.tobytes(), self.trie.decode(packed)
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(spec: str) -> TextEncoder:
+    """One encoder for all tasks of a worker process, with what it knows of words so far."""
+    return TextEncoder(spec)
+
+
 def _mapped(docs: DataFrame, spec: str, schema: str, row: Callable[[bytes, str], tuple]) -> DataFrame:
     """(doc_id, *row(ids, decoded)) of every document; the file's content goes out as a broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     names = ["doc_id", *(part.split()[0] for part in schema.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value)
-        for batch in batches:
+        encoder = _encoder(shared.value)
+        for batch in given_back(batches):
             texts = [x or "" for x in column_of(batch, "text").to_pylist()]
             rows = [row(*x) for x in encoder.run(texts)]
             # Token ids take more room than their text: they go out in several batches.

@@ -68,6 +68,14 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow has freed goes back to the system between two of them."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column, nulls as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import bounded_batches, column_of, only, texts_of
+from pacewatch.llm.common import bounded_batches, column_of, given_back, only, texts_of
 
 #: Usual wordings of licence notices.
 TEMPLATES = {
@@ -149,7 +149,7 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(shared.value)
-        for batch in batches:
+        for batch in given_back(batches):
             found = [[vars(m) for m in scanner.scan(text)] for text in texts_of(batch)]
             yield pa.RecordBatch.from_arrays(
                 [column_of(batch, "doc_id"), pa.array(map(len, found), pa.int32()), pa.array(found, arrow)],

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import bounded_batches, column_of, only, settled, spans, texts_of, whole_keys
+from pacewatch.llm.common import bounded_batches, column_of, given_back, only, settled, spans, texts_of, whole_keys
 from pacewatch.llm.components import components
 
 #: Bits that may differ between linked fingerprints; the halves' thresholds follow from it.
@@ -27,6 +27,8 @@ THRESHOLD = 3
 SEED = 42
 #: Shingles turned to bits at a time.
 CHUNK = 1 << 16
+#: Bytes of the texts whose shingle hashes are held at a time.
+HELD_BYTES = 2 << 20
 #: Members of an anchor that are compared row by row; larger anchors are searched by spreading.
 SMALL_ANCHOR = 32
 
@@ -60,8 +62,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp long) of every row; null and empty texts have fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = fingerprints_of(texts_of(batch), shingle).view(np.int64)
+        for batch in given_back(batches):
+            texts = texts_of(batch)
+            ends = np.cumsum([len(x) for x in texts]) // HELD_BYTES
+            cut = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+            parts = [fingerprints_of(texts[a:b], shingle) for a, b in zip(cut, cut[1:])]
+            fps = np.concatenate(parts).view(np.int64)
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
     bounded_batches(docs.sparkSession)
@@ -156,7 +162,7 @@ def near_links(distinct: DataFrame, limit: int = THRESHOLD) -> DataFrame:
         raise ValueError("two halves with radius 1 cover at most three differing bits")
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in given_back(batches):
             fps = column_of(batch, "fp").to_numpy(zero_copy_only=False).view(np.uint64)
             row, key, home = anchors(fps)
             yield pa.RecordBatch.from_arrays(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import bounded_batches, column_of, labelled_sample, logistic, only, settled
+from pacewatch.llm.common import bounded_batches, column_of, given_back, labelled_sample, logistic, only, settled
 
 #: Labelled rows of each class that are learned from, at most.
 PER_CLASS = 6_000
@@ -141,7 +141,7 @@ def _counts(sample: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in given_back(batches):
             rows: set[tuple[str, int, int]] = set()
             for text, label in zip(column_of(batch, "text").to_pylist(), column_of(batch, "label").to_pylist()):
                 words = words_of(text or "")
@@ -258,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Only words that weigh, and how many there are: texts stay with the executors."""
         own = shared.value
-        for batch in batches:
+        for batch in given_back(batches):
             texts = [_skeleton(own, x or "") for x in column_of(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [column_of(batch, "doc_id"), pa.array(texts, pa.string()), column_of(batch, "label")], names=["doc_id", "text", "label"]
@@ -283,7 +283,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in given_back(batches):
             scores = [own.score(x or "") for x in column_of(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
@@ -297,7 +297,7 @@ def toxic_passages(docs: DataFrame, model: ToxicityModel, chance: float = 0.01)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in given_back(batches):
             pairs = zip(column_of(batch, "doc_id").to_pylist(), column_of(batch, "text").to_pylist())
             rows = [(key, *p) for key, text in pairs for p in own.passages(text or "", chance)]
             columns = list(zip(*rows)) or [(), (), (), ()]
