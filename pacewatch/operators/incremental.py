@@ -81,7 +81,7 @@ def incremental_features(
     if withdrawn is not None:
         touched = touched.unionByName(withdrawn.select(*_UNIT))
     units = affected_units(staged.select(*_UNIT) if activity is None else activity, touched).checkpoint()
-    dates = [r[0].isoformat() for r in units.select("_d").distinct().limit(_MAX_DATES + 1).collect() if r[0].year > 999]
+    dates = [r[0].isoformat() for r in units.select("_d").distinct().limit(_MAX_DATES + 1).collect() if r[0] and r[0].year > 999]
     if len(dates) <= _MAX_DATES:
         staged = staged.filter(F.col("event_date").isin(dates) | F.col("event_date").isNull())
     rows = staged.withColumns({"_u": _account(), "_d": _date()}).join(units, ["_u", "_d"]).drop("_u", "_d")

@@ -1,37 +1,29 @@
 """Minority oversampling: new rows between a minority row and one of its neighbours.
 
-SMOTE (Chawla et al., 2002) as joins. Neighbours are exact. The search avoids comparing
-all pairs in three steps:
-
-1. Equal vectors collapse to one with a copy count. A vector with more than ``k`` copies
-   has only its copies as neighbours and is not searched for.
-2. Vectors sorted along the first principal axis look a fixed number of places up and
-   down. The k-th smallest of these distances bounds the true neighbour distance.
-3. Each vector meets only the vectors of the grid cells its bound touches, at most eight.
-   The grid spans the first three principal axes, and its cell width follows the bound,
-   so dense and sparse regions use different grids. A distance along an orthonormal axis
-   never exceeds the full distance, hence no neighbour is missed.
+SMOTE (Chawla et al., 2002) as joins. Equal vectors collapse to one with a copy count; a
+vector with more than ``k`` copies has only its copies as neighbours. The others are found
+in several trees of random cuts: each level projects on one random direction a tree and
+cuts every node at the quartiles of its projections, until nodes hold about ``LEAF``
+vectors. Each leaf is searched exactly and the best ``k`` of all trees are kept, so the work
+grows as n log n at every size. Up to ``LEAF`` distinct vectors form one leaf, and the
+neighbours are exact; beyond, tests hold the share of true neighbours found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, Bucketizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewatch.schema import MODEL_COLUMNS, OVERSAMPLE_NEIGHBOURS, OVERSAMPLE_RATIO
 from pacewatch.session import use_checkpoints
 
-_AXES = 3
+TREES = 8
+LEAF = 192
+_FAN = 4
 _INDEX_BUCKETS = 1024
-_LOOK_ROWS = 64
-_SORT_RANGE_ROWS = 1000
-_MAX_SORT_RANGES = 4096
-_EVERYWHERE = 1 << 20  # grid level of vectors without a bound: one cell that holds all
-_SLACK = 1e-9  # room for rounding in projections and distances
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -55,101 +47,60 @@ def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
     )
 
 
-def _with_axes(vectors: DataFrame, width: int) -> DataFrame:
-    """Add p0..p2, the projections on the leading principal axes."""
-    axes = min(_AXES, width)
-    pca = PCA(k=axes, inputCol="_vec", outputCol="_pc")
-    with_vec = vectors.withColumn("_vec", array_to_vector("v"))
-    projected = pca.fit(with_vec).transform(with_vec).withColumn("_pc", vector_to_array("_pc"))
-    ps = [F.col("_pc")[j].alias(f"p{j}") if j < axes else F.lit(0.0).alias(f"p{j}") for j in range(_AXES)]
-    return projected.select("v", "copies", *ps)
-
-
-def _with_bound(vectors: DataFrame, distinct: int, k: int) -> DataFrame:
-    """Add ``r``, an upper bound of the distance to the k-th other vector, or null."""
-    ranges = min(distinct // _SORT_RANGE_ROWS, _MAX_SORT_RANGES)
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        edges = sorted(set(vectors.approxQuantile("p0", shares, 1 / (4 * ranges))))
-        splits = [float("-inf"), *edges, float("inf")]
-        vectors = Bucketizer(splits=splits, inputCol="p0", outputCol="_range").transform(vectors)
-    else:
-        vectors = vectors.withColumn("_range", F.lit(0.0))
-    along = Window.partitionBy("_range").orderBy("p0", "v").rowsBetween(-_LOOK_ROWS, _LOOK_ROWS)
-    close = F.transform("_near", lambda x: _distance(x, F.col("v")))
-    seen = vectors.withColumn("_near", F.collect_list("v").over(along))
-    # The vector itself is among them, at distance 0.
-    return seen.withColumn("r", F.try_element_at(F.sort_array(close), F.lit(k + 1))).drop("_range", "_near")
+def _leaves(vectors: DataFrame, distinct: int, width: int) -> DataFrame:
+    """(tree, node, id, h, v, copies): every vector once in each tree, in the node of its leaf."""
+    rng = np.random.default_rng(distinct % 97)
+    placed = vectors.select("*", F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("tree"), F.lit(0).cast("long").alias("node"))
+    size = distinct
+    while size > LEAF:
+        ways = F.array(*[F.array(*map(F.lit, rng.normal(size=width).tolist())) for _ in range(TREES)])
+        way = F.element_at(ways, F.col("tree"))
+        along = F.aggregate(F.zip_with("v", way, lambda x, w: x * w), F.lit(0.0), lambda t, x: t + x)
+        placed = placed.withColumn("at", along)
+        shares = F.array(*[F.lit(i / _FAN) for i in range(1, _FAN)])
+        cuts = placed.groupBy("tree", "node").agg(F.percentile_approx("at", shares, 1000).alias("cuts"))
+        branch = F.size(F.filter("cuts", lambda c: c < F.col("at")))
+        placed = placed.join(cuts, ["tree", "node"]).withColumn("node", F.col("node") * _FAN + branch).drop("cuts", "at").checkpoint()
+        size = -(-size // _FAN)
+    return placed
 
 
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
-    """(v, neighbours): the k nearest rows of each distinct vector, copies counted singly."""
+    """(v, neighbours): k near rows of each distinct vector, copies counted singly."""
     distinct, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     if distinct == 1:
         return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
-    bounded = _with_bound(_with_axes(vectors, width), distinct, k).select(
-        "*", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h")
-    )
+    numbered = vectors.select("v", "copies", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h"))
     # Written once: the ids stay what they are in every use below.
-    bounded = bounded.checkpoint()
-    searched = bounded.filter(F.col("copies") <= k)
-    reach = F.col("r") * (1 + _SLACK) + _SLACK * (1 + F.abs("p0") + F.abs("p1") + F.abs("p2"))
-    level = F.ceil(F.log2(2 * F.col("reach"))).cast("int")
-    queries = searched.withColumn("reach", reach).withColumn(
-        "level", F.coalesce(level, F.lit(_EVERYWHERE))
-    )
-    # At most one value per power of two a distance can have.
-    levels = [row[0] for row in queries.select("level").distinct().collect()]
-    if not levels:
-        own = F.array_repeat(F.col("v"), k)
-        return bounded.select("v", own.alias("neighbours"))
-
-    def cell(p: Column) -> Column:
-        width = F.pow(F.lit(2.0), F.col("level"))
-        at = F.floor(F.try_divide(p, width)).cast("long")
-        return F.when(F.col("level") == _EVERYWHERE, F.lit(0).cast("long")).otherwise(at)
-
-    left = queries.select(F.col("id").alias("q_id"), F.col("v").alias("q"), "reach", "level", *[F.col(f"p{j}").alias(f"q{j}") for j in range(_AXES)])
-    for j in range(_AXES):
-        low, high = cell(F.col(f"q{j}") - F.col("reach")), cell(F.col(f"q{j}") + F.col("reach"))
-        cells = F.when(F.col("level") == _EVERYWHERE, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(low, high))
-        left = left.withColumn(f"c{j}", F.explode(cells))
-    right = bounded.select("id", "h", "v", "copies", "p0", "p1", "p2", F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
-    right = right.select("*", *[cell(F.col(f"p{j}")).alias(f"c{j}") for j in range(_AXES)])
-    inside = F.lit(True)
-    for j in range(_AXES):
-        inside = inside & (F.col("reach").isNull() | (F.abs(F.col(f"q{j}") - F.col(f"p{j}")) <= F.col("reach")))
-    inside = inside & (F.col("q_id") != F.col("id"))
-    grid = ["level", *[f"c{j}" for j in range(_AXES)]]
-    left = left.select("*", *[F.col(c).alias(f"_{c}") for c in grid]).drop(*grid)
-    same_cell = inside
-    for c in grid:
-        same_cell = (F.col(c) == F.col(f"_{c}")) & same_cell
-    d = _distance(F.col("q"), F.col("v"))
-    # The axis bounds come first: most pairs of a cell fail them before d is computed.
-    close = same_cell & (F.col("reach").isNull() | (d <= F.col("reach")))
-    pairs = left.join(right, close).select("q_id", "id", "h", d.alias("d"))
-    # Each task keeps its own k best per vector before the shuffle. Pairs carry ids only;
-    # the vectors come back for the few that are left.
-    rank = F.row_number().over(Window.partitionBy("q_id").orderBy("d", "h", "id"))
-    best = pairs.withColumn("_rank", rank).filter(F.col("_rank") <= k)
-    near = F.struct("d", "h", "id", "v", "copies")
+    numbered = numbered.checkpoint()
+    member = F.struct("id", "h", "v")
+    leaves = _leaves(numbered, distinct, width).groupBy("tree", "node").agg(F.collect_list(member).alias("all"))
+    one = leaves.select("all", F.explode("all").alias("q"))
+    others = F.filter("all", lambda m: m["id"] != F.col("q.id"))
+    ranked = F.transform(others, lambda m: F.struct(_distance(m["v"], F.col("q.v")).alias("d"), m["h"].alias("h"), m["id"].alias("id")))
+    found = one.select(F.col("q.id").alias("q_id"), F.slice(F.array_sort(ranked), 1, k).alias("near"))
+    # At most k of each tree.
+    best = found.groupBy("q_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k).alias("near"))
+    pairs = best.select("q_id", F.explode("near").alias("n")).select("q_id", "n.d", "n.h", "n.id")
     listed = (
-        best.drop("h")
-        .join(bounded.select("id", "h", "v", "copies"), "id")
+        pairs.join(numbered.select("id", "v", "copies"), "id")
         .groupBy("q_id")
-        .agg(F.sort_array(F.collect_list(near)).alias("near"))
-    )
-    others = F.flatten(
-        F.transform("near", lambda n: F.array_repeat(n["v"], F.least(n["copies"], F.lit(k)).cast("int")))
+        .agg(F.sort_array(F.collect_list(F.struct("d", "h", "id", "v", "copies"))).alias("near"))
     )
-    others = F.coalesce(others, F.array().cast("array<array<double>>"))
+    around = F.flatten(F.transform("near", lambda n: F.array_repeat(n["v"], F.least(n["copies"], F.lit(k)).cast("int"))))
+    around = F.coalesce(around, F.array().cast("array<array<double>>"))
     own = F.array_repeat(F.col("v"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
-    return bounded.join(listed, F.col("id") == F.col("q_id"), "left").select(
-        "v", F.slice(F.concat(own, others), 1, k).alias("neighbours")
+    return numbered.join(listed, F.col("id") == F.col("q_id"), "left").select(
+        "v", F.slice(F.concat(own, around), 1, k).alias("neighbours")
     )
 
 
+def drawn(i: Column, seed: int, what: str, digits: int = 15) -> Column:
+    """An integer of so many hexadecimal digits from the MD5 of (seed, what, i)."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(what), i.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
+
+
 def smote(
     df: DataFrame,
     features: Sequence[str] = MODEL_COLUMNS,
@@ -158,12 +109,13 @@ def smote(
     k: int = OVERSAMPLE_NEIGHBOURS,
     seed: int = 42,
     id_col: str = "transaction_id",
+    draws: bool = False,
 ) -> DataFrame:
     """``df``'s features and label, plus synthetic positives up to ``ratio`` x negatives.
 
-    Synthetic row i draws its base row, neighbour and position from hashes of (i, seed),
-    so a rerun gives the same rows. Bases are drawn by number, which spreads the work
-    evenly even if most positives are copies of one another.
+    Synthetic row i draws its base row, neighbour and position from MD5 digests of (seed,
+    i), so a rerun gives the same rows and SQL can follow. With ``draws`` the synthetic
+    rows come back alone, with i, the three draws, and the two ends of their segment.
     """
     spark = df.sparkSession
     use_checkpoints(spark)
@@ -171,7 +123,7 @@ def smote(
     sizes = original.agg(F.count(F.when(F.col(label) == 1, 1)), F.count(F.when(F.col(label) == 0, 1))).head()
     minority_rows, majority_rows = sizes[0], sizes[1]
     wanted = int(majority_rows * ratio) - minority_rows
-    if wanted <= 0:
+    if wanted <= 0 and not draws:
         return original
     if minority_rows <= k:
         raise ValueError(f"{minority_rows} positives are too few for {k} neighbours")
@@ -184,17 +136,19 @@ def smote(
     neighbours = nearest_vectors(distinct, k)
     numbered = dense_index(minority, id_col).select("index", "v")
 
-    def draw(what: int) -> Column:
-        return F.xxhash64(F.col("id"), F.lit(seed), F.lit(what))
-
+    i = F.col("id")
     plan = spark.range(wanted).select(
-        F.pmod(draw(0), F.lit(minority_rows)).alias("index"),
-        (F.pmod(draw(1), F.lit(k)) + 1).cast("int").alias("which"),
-        (F.shiftrightunsigned(draw(2), 11) / F.lit(float(2**53))).alias("gap"),
+        i.alias("i"),
+        (drawn(i, seed, "base") % minority_rows).alias("index"),
+        (drawn(i, seed, "neighbour") % k + 1).cast("int").alias("which"),
+        (drawn(i, seed, "gap", 13) / F.lit(float(1 << 52))).alias("gap"),
     )
     towards = F.element_at("neighbours", F.col("which"))
     point = F.zip_with("v", towards, lambda a, b: a + F.col("gap") * (b - a))
-    made = plan.join(numbered, "index").join(neighbours, "v").select(point.alias("s"))
+    made = plan.join(numbered, "index").join(neighbours, "v")
+    if draws:
+        return made.select("i", "index", "which", "gap", F.col("v").alias("base"), towards.alias("towards"), point.alias("point"))
+    made = made.select(point.alias("s"))
     synthetic = made.select(
         *[F.col("s")[i].alias(c) for i, c in enumerate(features)], F.lit(1).alias(label)
     )

@@ -463,9 +463,21 @@ ORACLES: dict[str, str] = {
     "smote_counts": f"""WITH {_TX}, sizes AS (
           SELECT count(*) FILTER (WHERE rare) AS few, count(*) FILTER (WHERE NOT rare) AS many
           FROM (SELECT is_fraud = 1 AND amount > 60 AS rare FROM tx))
-        SELECT CAST(0 AS INTEGER) AS is_fraud, many AS rows FROM sizes
-        UNION ALL
-        SELECT CAST(1 AS INTEGER), greatest(few, CAST(floor(many * 0.1::DOUBLE) AS BIGINT)) FROM sizes""",
+        SELECT *, rows AS finite_rows FROM (
+          SELECT CAST(0 AS INTEGER) AS is_fraud, many AS rows FROM sizes
+          UNION ALL
+          SELECT CAST(1 AS INTEGER), greatest(few, CAST(floor(many * 0.1::DOUBLE) AS BIGINT)) FROM sizes)""",
+    "smote_rows": f"""WITH {_TX}, sizes AS (
+          SELECT count(*) FILTER (WHERE rare) AS few, count(*) FILTER (WHERE NOT rare) AS many
+          FROM (SELECT is_fraud = 1 AND amount > 60 AS rare FROM tx)),
+        planned AS (
+          SELECT few, unnest(range(greatest(0, CAST(floor(many * 0.1::DOUBLE) AS BIGINT) - few))) AS i FROM sizes),
+        digests AS (
+          SELECT i, few, md5('42:base:' || i) AS b, md5('42:neighbour:' || i) AS n, md5('42:gap:' || i) AS g FROM planned)
+        SELECT i, CAST('0x' || b[1:15] AS BIGINT) % few AS index,
+               CAST(CAST('0x' || n[1:15] AS BIGINT) % 5 + 1 AS INTEGER) AS which,
+               CAST('0x' || g[1:13] AS BIGINT) / 4503599627370496.0::DOUBLE AS gap,
+               true AS between_positives, true AS on_segment FROM digests""",
     "refresh_report": f"WITH {_QUARANTINED},{_profiles('features')} "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS \"table\", *, false AS published FROM ({sql})"

@@ -517,11 +517,32 @@ def _rare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def smote_counts(spark, sf):
-    return smote(_rare(spark, sf)).groupBy("is_fraud").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows by label; the values are summed up too, so that they are computed."""
+    finite = F.lit(True)
+    for c in MODEL_COLUMNS:
+        finite = finite & (F.abs(c) < float("inf"))
+    rows = smote(_rare(spark, sf)).groupBy("is_fraud")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(finite).alias("finite_rows"))
 
 
 def smote_rows(spark, sf):
-    return smote(_rare(spark, sf))
+    """Every synthetic row's draws, and whether it lies where they put it between two positives."""
+    rare = _rare(spark, sf).checkpoint() if use_checkpoints(spark) else None
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in MODEL_COLUMNS])
+    positive = rare.filter("is_fraud = 1").select(values.alias("v")).distinct()
+    made = smote(rare, draws=True)
+    for end in ("base", "towards"):
+        ends = positive.select(F.col("v").alias(end), F.lit(True).alias(f"{end}_known"))
+        made = made.join(ends, end, "left")
+    apart = F.zip_with(F.zip_with("base", "towards", lambda a, b: a + F.col("gap") * (b - a)), "point", lambda x, y: F.abs(x - y))
+    return made.select(
+        "i",
+        "index",
+        "which",
+        "gap",
+        F.coalesce(F.col("base_known") & F.col("towards_known"), F.lit(False)).alias("between_positives"),
+        (F.array_max(apart) == 0).alias("on_segment"),
+    )
 
 
 def _fitted(spark: SparkSession, sf: str):

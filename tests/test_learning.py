@@ -89,9 +89,9 @@ def brute(points, k):
 
 
 @pytest.mark.parametrize("case", ["uniform", "clusters", "copies", "line", "outliers"])
-def test_neighbours_are_exact(spark, case):
+def test_neighbours_are_exact_within_a_leaf(spark, case):
     rng = np.random.default_rng(7)
-    n, k = 260, 5
+    n, k = 150, 5
     points = {
         "uniform": lambda: rng.random((n, 4)),
         "clusters": lambda: np.concatenate([rng.normal(c, 0.01, (n // 4, 4)) for c in (0, 1, 100, 1e6)]),
@@ -109,6 +109,19 @@ def test_neighbours_are_exact(spark, case):
         assert np.allclose(have, want[tuple(row.v)], rtol=1e-9, atol=1e-9), (case, row.v)
 
 
+def test_neighbours_across_leaves_are_mostly_true(spark):
+    rng = np.random.default_rng(3)
+    points, k = rng.normal(size=(1500, 8)), 5
+    df = spark.createDataFrame([(p.tolist(), 1) for p in points], "v array<double>, copies long")
+    hits = 0
+    for row in nearest_vectors(df, k).collect():
+        d = ((points - np.array(row.v)) ** 2).sum(1)
+        true = {tuple(points[i]) for i in np.argsort(d)[1 : k + 1]}
+        assert len(row.neighbours) == k and tuple(row.v) not in {tuple(x) for x in row.neighbours}
+        hits += len(true & {tuple(x) for x in row.neighbours})
+    assert hits > 0.85 * len(points) * k
+
+
 def labelled(spark, positives, negatives):
     rng = np.random.default_rng(1)
     rows = [(f"p{i}", 1, *rng.normal(5, 1, 3).tolist()) for i in range(positives)]
