@@ -12,6 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pacewatch.operators.metrics import evaluate
+from pacewatch.operators.oversample import smote
+from pacewatch.operators.split import time_split
 from pacewatch.schema import GBT_PARAMS, MODEL_COLUMNS
 from pacewatch.session import use_checkpoints
 
@@ -68,6 +71,24 @@ def top_importances(model: PipelineModel, spark: SparkSession, n: int = 10) -> D
     return importances(model, spark).orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
+def run_training(
+    features_table: DataFrame,
+    path: str,
+    params: Mapping[str, object] | None = None,
+    features: Sequence[str] = MODEL_COLUMNS,
+) -> tuple[PipelineModel, DataFrame]:
+    """The whole training step: split by time, oversample the training side, fit, evaluate on the
+    untouched later side, and save model, parameters, metrics and importances under ``path``.
+
+    Returns the model and its (metric, value) rows.
+    """
+    train_side, test_side = time_split(features_table)
+    fitted = train(smote(train_side, features), params, features)
+    report = evaluate(predict(fitted, test_side)).checkpoint()
+    save_run(path, fitted, report, {**GBT_PARAMS, **(params or {})})
+    return fitted, report
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

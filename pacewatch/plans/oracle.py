@@ -478,6 +478,16 @@ ORACLES: dict[str, str] = {
                CAST(CAST('0x' || n[1:15] AS BIGINT) % 5 + 1 AS INTEGER) AS which,
                CAST('0x' || g[1:13] AS BIGINT) / 4503599627370496.0::DOUBLE AS gap,
                true AS between_positives, true AS on_segment FROM digests""",
+    "training_report": f"""WITH {_SPLIT}, test AS (
+          SELECT CASE WHEN is_fraud = 1 AND amount > 60 THEN 1 ELSE 0 END AS rare FROM tx, cut WHERE event_time >= c)
+        SELECT 'test_size' AS metric, CAST(count(*) AS DOUBLE) AS value FROM test
+        UNION ALL SELECT 'test_positives', CAST(sum(rare) AS DOUBLE) FROM test
+        UNION ALL SELECT 'scored_by_saved_model', CAST(count(*) AS DOUBLE) FROM test
+        UNION ALL SELECT * FROM (VALUES ('outside_0_1', 0.0::DOUBLE), ('importances_sum', 1.0::DOUBLE),
+                                        ('auc_above_half', 1.0::DOUBLE))""",
+    "csv_first_rows": f"WITH {_RAW} SELECT * EXCLUDE (event_time) FROM raw WHERE row_index < 100",
+    "topic_files": f"WITH {_RAW} SELECT user_id, transaction_id, amount, event_time, true AS stamped FROM evs",
+    "schema_contract": "SELECT * FROM (VALUES ('avg_v3'), ('max_velocity_1h')) t(missing_column)",
     "refresh_report": f"WITH {_QUARANTINED},{_profiles('features')} "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS \"table\", *, false AS published FROM ({sql})"

@@ -53,7 +53,6 @@ _FINE = {
 # An instant inside the data's month, used wherever a query needs a fixed clock.
 NOW = "2024-01-25 00:00:00"
 POOL = 5000
-GBT_TREES = 5
 
 
 def text_time(c: str | Column) -> Column:
@@ -546,11 +545,11 @@ def smote_rows(spark, sf):
 
 
 def _fitted(spark: SparkSession, sf: str):
-    """A model of few trees. Features are read from a written table, as in a real run."""
+    """Features are read from a written table, as in a real run; parameters are the defaults."""
     path = scratch(spark)
     _rare(spark, sf).write.parquet(path)
     train, test = split.time_split(spark.read.parquet(path))
-    fitted = model.train(smote(train), {"maxIter": GBT_TREES})
+    fitted = model.train(smote(train))
     return fitted, test
 
 
@@ -565,6 +564,58 @@ def importances(spark, sf):
     return model.top_importances(fitted, spark, 10)
 
 
+def training_report(spark, sf):
+    """The training step on a written feature table: set sizes and properties that must hold."""
+    path = scratch(spark)
+    _rare(spark, sf).write.parquet(f"{path}/features")
+    _, report = model.run_training(spark.read.parquet(f"{path}/features"), f"{path}/run")
+    again = model.load_model(f"{path}/run/model")
+    test = split.time_split(spark.read.parquet(f"{path}/features"))[1]
+    scored = model.predict(again, test).select("probability")
+    weights = spark.read.json(f"{path}/run/importances")
+    bounded = F.count_if((F.col("probability") < 0) | (F.col("probability") > 1)).cast("double")
+    rows = [
+        report.filter("metric in ('test_size', 'test_positives')"),
+        scored.agg(F.lit("outside_0_1").alias("metric"), bounded.alias("value")),
+        scored.agg(F.lit("scored_by_saved_model").alias("metric"), F.count("probability").cast("double").alias("value")),
+        weights.agg(F.lit("importances_sum").alias("metric"), F.round(F.sum("importance"), 6).alias("value")),
+        report.filter("metric = 'roc_auc'").select(F.lit("auc_above_half").alias("metric"), (F.col("value") > 0.5).cast("double").alias("value")),
+    ]
+    out = rows[0]
+    for part in rows[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def csv_first_rows(spark, sf):
+    """The first hundred rows of the raw CSV, by row index."""
+    path = scratch(spark)
+    rows = _raw_rows(spark, sf)
+    rows.repartitionByRange("row_index").sortWithinPartitions("row_index").drop("row_index").write.option("header", True).csv(path)
+    return read_raw_csv(spark, path, limit=100)
+
+
+def topic_files(spark, sf):
+    """Keyed JSON events as a sink wrote them, read back, with the producer's stamp in place."""
+    path = scratch(spark)
+    ev.write_events(ev.to_events(_raw_rows(spark, sf), POOL), "parquet", {"path": path})
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    stamped = F.abs(F.unix_seconds(F.to_timestamp(field("produced_at"))) - F.unix_seconds(F.current_timestamp())) < 86400
+    return spark.read.parquet(path).select(
+        F.col("key").alias("user_id"),
+        field("transaction_id").alias("transaction_id"),
+        field("amount").cast("double").alias("amount"),
+        field("event_time").alias("event_time"),
+        stamped.alias("stamped"),
+    )
+
+
+def schema_contract(spark, sf):
+    """Required profile columns that a table without two of them lacks."""
+    profiles = feat.account_features(_features(spark, sf)).drop("avg_v3", "max_velocity_1h")
+    return quality.check_schema(profiles)
+
+
 def refresh_report(spark, sf):
     """All scheduled steps on dirty events; the report lists every check, and nothing is published."""
     path = scratch(spark)
@@ -630,6 +681,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         smote_rows,
         gbt_score,
         importances,
+        training_report,
+        csv_first_rows,
+        topic_files,
+        schema_contract,
         refresh_report,
     )
 }
