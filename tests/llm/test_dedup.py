@@ -3,7 +3,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from conftest import make, odd_rows, prose
+from samples import make, odd_rows, prose
 
 from pacewatch.llm import exact_dedup as E
 from pacewatch.llm import simhash_dedup as S

@@ -3,7 +3,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import odd_rows
+from samples import odd_rows
 
 from pacewatch.llm import mixing, quality, topk, toxicity
 from pacewatch.llm import queries as Q

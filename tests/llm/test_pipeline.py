@@ -1,5 +1,5 @@
 import corpus_pipeline
-from conftest import odd_rows
+from samples import odd_rows
 from test_dedup import expected_near, lowered
 
 from pacewatch.llm import bpe

@@ -6,7 +6,7 @@ import zlib
 from array import array
 
 import public_tokenizers
-from conftest import make, odd_rows, prose
+from samples import make, odd_rows, prose
 from tokenizers import Tokenizer
 
 from pacewatch.llm import bpe, license_scan, line_dedup, lm_score
