@@ -167,7 +167,9 @@ def _pieces(places: DataFrame, slots: DataFrame, keys: list[str]) -> DataFrame:
     """What the slots take of each document: (keys, epoch, from, to), word numbers in the document."""
     last = F.expr(f"(start + size - 1) div {BLOCK}")
     parts = places.select(*keys, "size", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), last)).alias("block"))
-    met = parts.join(slots.select("ordinal", "epoch", "block", "words"), ["ordinal", "block"])
+    # Slots come from a few rows per source, so Spark would take them for small and broadcast them.
+    taken = slots.select("ordinal", "epoch", "block", "words").hint("merge")
+    met = parts.join(taken, ["ordinal", "block"])
     low = F.greatest(F.col("start"), F.col("block") * BLOCK)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * BLOCK + F.col("words"))
     return met.filter(high > low).select(*keys, "epoch", (low - F.col("start")).alias("from"), (high - F.col("start")).alias("to"))
