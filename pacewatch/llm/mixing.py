@@ -136,7 +136,9 @@ def plan(sources: DataFrame, seed: int = 1) -> DataFrame:
     )
     runs = epochs.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {RUN}"))))
     upto = F.least((F.col("run") + 1) * RUN, F.col("slots")) - 1
-    slots = runs.repartition("ordinal", "epoch", "run").withColumn("r", F.explode(F.sequence(F.col("run") * RUN, upto)))
+    # A number of partitions is named, else the few small rows would be merged into one task.
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = runs.repartition(parts, "ordinal", "epoch", "run").withColumn("r", F.explode(F.sequence(F.col("run") * RUN, upto)))
     block = permuted(F.col("r"), n, F.col("seed"))
     position = permuted(F.col("offset") + F.col("r"), F.col("all_slots"), F.lit(f"{seed}:shards"))
     before = F.col("r") * BLOCK - F.when(F.col("short_at") < F.col("r"), F.col("gap")).otherwise(0)
