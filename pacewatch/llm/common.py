@@ -121,9 +121,10 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, skip: int) -> DataFrame:
-    """Texts with labels to learn from: (doc_id, text, label), at most ``per_class`` rows of a label.
+    """Texts with labels to learn from: (doc_id, text, label, weight), at most ``per_class`` ids of a label.
 
-    Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no part. Ids are
+    ``weight`` is how many labelled ids of its class a drawn one stands for, so that weighted
+    rows have the class shares of all of them. Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no part. Ids are
     drawn by hash, so reruns agree. The drawn ids are broadcast: their number is bounded.
     """
     marks = (
@@ -139,6 +140,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for value in (0, 1):
         part = marks.filter((F.col("label") == value) & (share <= per_class / max(1, have.get(value, 0))))
         part = part.orderBy(draw, "doc_id").limit(per_class)
+        stands_for = have.get(value, 0) / max(1, part.count()) if have.get(value, 0) > per_class else 1.0
+        part = part.withColumn("weight", F.lit(float(stands_for)))
         drawn = part if drawn is None else drawn.unionByName(part)
     return only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id")
 

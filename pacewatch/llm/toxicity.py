@@ -196,12 +196,16 @@ def _weights(counts: DataFrame) -> dict[str, float]:
     return bad
 
 
-def _calibrated(model: ToxicityModel, rows: list[tuple[str, int]]) -> ToxicityModel:
-    """Extreme-value law from the clean rows, then the curve; rows are others than the weights'."""
+def _calibrated(model: ToxicityModel, rows: list[tuple[str, int, float]]) -> ToxicityModel:
+    """Extreme-value law from the clean rows, then the curve; rows are others than the weights'.
+
+    Rows are (text, label, weight). The law holds for clean rows alone, so only the curve
+    needs the weights that undo the caps of the classes.
+    """
     counts: dict[float, int] = {}
     peaks = []
     clean = 0
-    for text, label in rows:
+    for text, label, _ in rows:
         if label:
             continue
         words = words_of(text)
@@ -234,10 +238,10 @@ def _calibrated(model: ToxicityModel, rows: list[tuple[str, int]]) -> ToxicityMo
     # Where most clean texts have no segment at all, K is set by how many have one.
     total = sum(n for _, n in peaks)
     model.log_k = (sum(gumbel) / len(gumbel) - EULER) if shares > 0.5 else math.log(max(0.5, len(gumbel)) / total) + model.scale * _least(model)
-    x = np.array([[1.0, model.measure(text)] for text, _ in rows])
-    y = np.array([label for _, label in rows], float)
+    x = np.array([[1.0, model.measure(text)] for text, _, _ in rows])
+    y = np.array([label for _, label, _ in rows], float)
     if 0 < y.sum() < len(y):
-        model.curve = tuple(logistic(x, y, ridge=1e-4))
+        model.curve = tuple(logistic(x, y, ridge=1e-4, weights=np.array([w for _, _, w in rows])))
     return model
 
 
@@ -261,11 +265,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
         for batch in given_back(batches):
             texts = [_skeleton(own, x or "") for x in column_of(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "doc_id"), pa.array(texts, pa.string()), column_of(batch, "label")], names=["doc_id", "text", "label"]
+                [column_of(batch, "doc_id"), pa.array(texts, pa.string()), column_of(batch, "label"), column_of(batch, "weight")],
+                names=["doc_id", "text", "label", "weight"],
             )
 
-    rows = sample.filter(part == 0).mapInArrow(run, "doc_id long, text string, label int").toPandas().sort_values(["doc_id", "text"])
-    return _calibrated(model, list(zip(rows["text"], rows["label"])))
+    rows = sample.filter(part == 0).mapInArrow(run, "doc_id long, text string, label int, weight double").toPandas().sort_values(["doc_id", "text"])
+    return _calibrated(model, list(zip(rows["text"], rows["label"], rows["weight"])))
 
 
 def _skeleton(model: ToxicityModel, text: str) -> str:
