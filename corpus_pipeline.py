@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewatch.llm import bpe, exact_dedup, mixing, quality, similar
+from pacewatch.llm import bpe, exact_dedup, mixing, quality, simhash_dedup
 from pacewatch.llm.common import stored, table
 from pacewatch.llm.queries import tokenizer_spec
 
@@ -25,8 +25,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows go whose five-word shingles are 0.8 similar to those of a smaller doc_id that stays."""
-    return similar.drop_similar(docs)
+    """Of fingerprints that links of three bits join up the smallest doc_id stays."""
+    return simhash_dedup.drop_near(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
