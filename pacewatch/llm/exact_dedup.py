@@ -175,11 +175,14 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", norma
 
     Of fully repeated rows one stays. Columns of any name may be present.
     """
-    groups = repeated_texts(docs, text, key, normal).select(
-        F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep"), F.lit(True).alias("_repeated")
+    groups = repeated_texts(docs, text, key, normal).withColumnRenamed("text_sha256", "digest")
+    packed = docs.select(
+        F.col(key).cast("long").alias("id"),
+        _digest(normal(F.col(text))).alias("digest"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
     )
-    marked = docs.withColumn("_digest", _digest(normal(F.col(text)))).join(groups, "_digest", "left")
-    alone = marked.filter("_repeated is null").select(docs.columns)
-    best = marked.filter(F.col("_repeated") & F.col(key).cast("long").eqNullSafe(F.col("_keep")))
-    first = best.groupBy("_digest").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return alone.unionByName(first)
+    marked = packed.join(groups, "digest", "left")
+    alone = marked.filter("group_size is null").select("row")
+    best = marked.filter(F.col("group_size").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id")))
+    first = best.groupBy("digest").agg(F.first("row").alias("row")).select("row")
+    return alone.unionByName(first).select("row.*")

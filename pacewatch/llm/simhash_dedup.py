@@ -31,6 +31,10 @@ CHUNK = 1 << 16
 HELD_BYTES = 2 << 20
 #: Members of an anchor that are compared row by row; larger anchors are searched by spreading.
 SMALL_ANCHOR = 32
+#: Fingerprints of an anchor that one task compares; larger anchors are cut into pieces.
+LARGE_ANCHOR = 65_536
+#: One fingerprint in so many is counted to find large anchors. It decides the cut, not the links.
+COUNTED = 64
 
 
 def fingerprints_of(texts: list[bytes], shingle: int = 3) -> np.ndarray:
@@ -156,8 +160,41 @@ def links_at_anchors(keys: np.ndarray, fps: np.ndarray, home: np.ndarray, limit:
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def near_links(distinct: DataFrame, limit: int = THRESHOLD) -> DataFrame:
-    """Links (a, b) that connect exactly the fingerprints (column ``fp``) that are within ``limit`` bits."""
+def _cells(placed: DataFrame, distinct: DataFrame, replicate, large: int) -> DataFrame:
+    """(cell, fp, home): what is compared together, at most about twice ``large`` rows a cell.
+
+    An anchor of bounded size is one cell. A larger one is cut into pieces by hash; the homes
+    of every piece meet all members of every piece, each two pieces in a cell of their own.
+    """
+    step = min(COUNTED, large)
+    some = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("fp")
+    counted = some.mapInArrow(replicate, _PLACED).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    pieces = F.ceil(F.col("n") * step / F.lit(large)).cast("int")
+    crowded = settled(counted.select(F.col("anchor").alias("at"), pieces.alias("pieces")).filter("pieces > 1"))
+    if crowded.isEmpty():
+        return placed.withColumnRenamed("anchor", "cell")
+    met = placed.join(crowded, placed.anchor == crowded["at"], "left")
+    plain = met.filter("pieces is null").select(F.col("anchor").alias("cell"), "fp", "home")
+    cut = met.filter("pieces is not null").withColumn("own", F.pmod(F.xxhash64("fp", F.lit("piece")), F.col("pieces")))
+    every = F.explode(F.expr("sequence(0L, pieces - 1L)")).alias("other")
+    cell = F.xxhash64("anchor", "row", "column").alias("cell")
+    homes = cut.filter("home").select("anchor", "fp", F.col("own").alias("row"), every).withColumnRenamed("other", "column")
+    members = cut.select("anchor", "fp", "home", F.col("own").alias("column"), every).withColumnRenamed("other", "row")
+    # Where a piece meets itself its homes are there already.
+    members = members.filter("not home or row <> column")
+    return plain.unionByName(homes.select(cell, "fp", F.lit(True).alias("home"))).unionByName(
+        members.select(cell, "fp", F.lit(False).alias("home"))
+    )
+
+
+_PLACED = "anchor long, fp long, home boolean"
+
+
+def near_links(distinct: DataFrame, limit: int = THRESHOLD, large: int = LARGE_ANCHOR) -> DataFrame:
+    """Links (a, b) that connect exactly the fingerprints (column ``fp``) that are within ``limit`` bits.
+
+    One task holds about ``large`` fingerprints of an anchor, however many it has.
+    """
     if limit > THRESHOLD:
         raise ValueError("two halves with radius 1 cover at most three differing bits")
 
@@ -170,18 +207,18 @@ def near_links(distinct: DataFrame, limit: int = THRESHOLD) -> DataFrame:
             )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_keys(batches, "anchor"):
+        for group in whole_keys(batches, "cell"):
             a, b = links_at_anchors(
-                group.column("anchor").to_numpy(),
+                group.column("cell").to_numpy(),
                 group.column("fp").to_numpy().view(np.uint64),
                 group.column("home").to_numpy(),
                 limit,
             )
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    placed = distinct.select("fp").mapInArrow(replicate, "anchor long, fp long, home boolean")
+    placed = distinct.select("fp").mapInArrow(replicate, _PLACED)
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = placed.repartition(parts, "anchor").sortWithinPartitions("anchor")
+    met = _cells(placed, distinct, replicate, large).repartition(parts, "cell").sortWithinPartitions("cell")
     return met.mapInArrow(compare, "a long, b long")
 
 
@@ -209,11 +246,16 @@ def drop_near(docs: DataFrame, key: str = "doc_id", shingle: int = 3, limit: int
 
     The key names a document: rows that repeat a key with near-equal texts are copies, and
     one of them stays; rows that share a key but have unlike texts all stay. Where all keys
-    of a group are null, one row stays.
+    of a group are null, one row stays. Columns of any name may be present.
     """
-    groups = near_groups(docs, shingle, limit)
+    packed = docs.select(
+        F.col(key).cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+    )
+    groups = near_groups(packed, shingle, limit)
     stays = groups.filter("group_size = 1 or doc_id <=> component_id")
-    stay = settled(stays.groupBy("doc_id").agg(F.max(F.col("group_size") == 1).alias("_single")))
-    kept = docs.join(stay.withColumnRenamed("doc_id", "_key"), docs[key].cast("long").eqNullSafe(F.col("_key")))
-    first = kept.filter(~F.col("_single")).groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("row"))
-    return kept.filter("_single").select(docs.columns).unionByName(first.select("row.*"))
+    stay = settled(stays.groupBy(F.col("doc_id").alias("stays")).agg(F.max(F.col("group_size") == 1).alias("single")))
+    kept = packed.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")))
+    first = kept.filter(~F.col("single")).groupBy("stays").agg(F.first("row").alias("row"))
+    return kept.filter("single").select("row").unionByName(first.select("row")).select("row.*")

@@ -10,14 +10,14 @@ SCHEMA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
         # Names that operators use for columns of their own.
-        *[T.StructField(name, T.StringType()) for name in ("size", "fp", "key", "row", "label", "score", "bucket")],
+        *[T.StructField(name, T.StringType()) for name in ("size", "fp", "key", "row", "label", "score", "bucket", "_keep", "_digest", "_key", "_single")],
     ]
 )
 
 
 def make(spark, rows):
     """Documents from (doc_id, text, source), with clashing extra columns."""
-    extra = ("x",) * 7
+    extra = ("x",) * 11
     return spark.createDataFrame(
         [(i, t, "en", s, None if t is None else len(t), *extra) for i, t, s in rows], SCHEMA
     ).repartition(3)

@@ -140,6 +140,31 @@ def test_links_miss_no_pair():
     assert together(find) == together(root)
 
 
+def test_crowded_anchors_are_cut_without_losing_links(spark):
+    """A third of all fingerprints meet at one anchor; cells stay small and the components are the same."""
+    rng = np.random.default_rng(11)
+    low = 0x1234ABCD
+    family = [(int(x) << 32) | low ^ (1 << int(b)) for x, b in zip(rng.integers(0, 1 << 9, 150), rng.integers(0, 32, 150))]
+    fps = sorted({*family, *rng.integers(0, 1 << 62, 300).tolist()})
+    distinct = spark.createDataFrame([(x,) for x in fps], "fp long")
+    cut = {r.node: r.root for r in components(S.near_links(distinct, large=16)).collect()}
+    whole = {r.node: r.root for r in components(S.near_links(distinct)).collect()}
+    parent = {x: x for x in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in enumerate(fps):
+        for y in fps[:i]:
+            if (x ^ y).bit_count() <= 3:
+                a, b = sorted((find(x), find(y)))
+                parent[b] = a
+    want = {x: find(x) for x in fps}
+    assert cut == whole == {x: r for x, r in want.items() if list(want.values()).count(r) > 1}
+
+
 def test_drop_near_keeps_the_smallest_of_each_group(spark):
     text = prose(2, 900)
     rows = [(5, text, "a"), (4, text + " more", "a"), (9, text.replace("alpha", "Alpha"), "b"), (1, prose(8, 40), "a"), (1, prose(8, 40), "a"), (2, None, None), (3, "", None)]
