@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,8 @@ BATCH = 32_768
 STEP = 20_000
 #: Slots of one slice of a table, as it is merged.
 SLICE = 1 << 14
+#: Distinct entries that one learner walks through; their number decides how many learners there are.
+LEARNER = 1 << 19
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0x100000001B3
 #: Mark of a word by its last byte: each ASCII mark its own, letters, digits, beyond ASCII.
@@ -261,24 +264,27 @@ def head_of(word: bytes) -> bytes:
 
 #: One table for both kinds of rows of a block: its entries (``at`` from 0), and one row
 #: (``at`` -1) with the texts as entry numbers.
-_ROWS = "block long, at int, head boolean, kind int, word binary, n long, ids binary, head_ids binary, sizes binary, held binary, docs array<long>"
+_ROWS = (
+    "block long, at int, head boolean, kind int, word binary, n long, "
+    "ids binary, head_ids binary, sizes binary, lengths binary, held binary, docs array<long>"
+)
 _SCHEMA = pa.schema(
     [
         ("block", pa.int64()), ("at", pa.int32()), ("head", pa.bool_()), ("kind", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
-        ("ids", pa.binary()), ("head_ids", pa.binary()), ("sizes", pa.binary()), ("held", pa.binary()), ("docs", pa.list_(pa.int64())),
+        ("ids", pa.binary()), ("head_ids", pa.binary()), ("sizes", pa.binary()), ("lengths", pa.binary()), ("held", pa.binary()), ("docs", pa.list_(pa.int64())),
     ]
 )
 
 
-def _squeezed(numbers: np.ndarray) -> bytes:
-    """Small numbers, byte by byte place, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+def _squeezed(numbers: np.ndarray, size: int = 4) -> bytes:
+    """Whole numbers of ``size`` bytes, byte by byte place, compressed."""
+    planes = np.ascontiguousarray(numbers.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-def _numbers(squeezed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(squeezed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+def _numbers(squeezed: bytes, size: int = 4) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(squeezed), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(f"<i{size}").reshape(-1)
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -313,39 +319,41 @@ def _packed(name: int, words: list[bytes], texts: list[np.ndarray], held: list[b
             }
             yield pa.RecordBatch.from_arrays([pa.array(have[f.name], f.type) if f.name in have else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA)
 
+    lengths = np.array([len(w) for w in words], np.int64)[entry >> 2]
     yield from rows(False, entry & 3, [words[i] for i in entry >> 2], np.bincount(entry_ids[train], minlength=len(entry)))
     yield from rows(True, pair // len(starts), [names[i] for i in pair % len(starts)], np.bincount(head_ids[train], minlength=len(pair)))
     whole = {
         "block": name, "at": -1, "ids": _squeezed(entry_ids), "head_ids": _squeezed(head_ids),
-        "sizes": _squeezed(sizes), "held": np.array(held, np.uint8).tobytes(), "docs": keys,
+        "sizes": _squeezed(sizes), "lengths": _squeezed(lengths), "held": np.array(held, np.uint8).tobytes(), "docs": keys,
     }
     yield pa.RecordBatch.from_pylist([whole], schema=_SCHEMA)
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """Pack texts into blocks: the vocabulary with its training counts, and each text as numbers."""
+    """Pack texts into blocks: the vocabulary with its training counts, and each text as numbers.
+
+    A block is named by its task and its number there, so a repeated task gives the same rows.
+    """
     rows = only(docs, doc_id="long", text="string").withColumn("held_out", fold(F.col("doc_id"), FOLDS) == HELD_OUT)
-    rows = rows.select("doc_id", "text", "held_out", F.xxhash64(F.expr("uuid()")).alias("name"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: defaultdict = defaultdict()
         texts: list[np.ndarray] = []
         held: list[bool] = []
         keys: list = []
-        name, size = 0, 0
+        name, size = TaskContext.get().partitionId() << 32, 0
 
         def seal() -> Iterator[pa.RecordBatch]:
-            nonlocal size
+            nonlocal name, size
             yield from _packed(name, list(vocabulary), texts, held, keys)
             for x in (vocabulary, texts, held, keys):
                 x.clear()
-            size = 0
+            name, size = name + 1, 0
 
         vocabulary.default_factory = vocabulary.__len__
         for batch in given_back(batches):
-            columns = (column_of(batch, x).to_pylist() for x in ("doc_id", "held_out", "name"))
-            for text, key, out, own in zip(texts_of(batch), *columns):
-                name = name if keys else own
+            columns = (column_of(batch, x).to_pylist() for x in ("doc_id", "held_out"))
+            for text, key, out in zip(texts_of(batch), *columns):
                 words = text.lower().split()
                 words.append(b"")
                 texts.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
@@ -381,8 +389,8 @@ def count_tables(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Tables of bit counts over all training entries (head, kind, word, n).
 
     As many tasks as there are cores each fill tables of the fixed size and send them in
-    slices, as roots in half precision (a thousandth off at most), which are added up by
-    slice; the driver gets one table of each predictor.
+    slices of squeezed whole numbers, which are added up by slice; the driver gets one table
+    of each predictor. Whole numbers below 2**53 add up exactly, in whatever order.
     """
     spark = entries.sparkSession
     floats = "predictor int, slice int, zeros binary, ones binary"
@@ -401,15 +409,15 @@ def count_tables(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 [
                     pa.array([p] * len(cut), pa.int32()),
                     pa.array([i for i, _, _ in cut], pa.int32()),
-                    pa.array([np.sqrt(z).astype(np.float16).tobytes() for _, z, _ in cut]),
-                    pa.array([np.sqrt(o).astype(np.float16).tobytes() for _, _, o in cut]),
+                    pa.array([_squeezed(z, 8) for _, z, _ in cut]),
+                    pa.array([_squeezed(o, 8) for _, _, o in cut]),
                 ],
                 names=["predictor", "slice", "zeros", "ones"],
             )
 
     def add(group: pa.Table) -> pa.Table:
         total = {
-            name: sum(np.frombuffer(x, np.float16).astype(np.float64) ** 2 for x in group.column(name).to_pylist()).astype(np.float32).tobytes()
+            name: sum(_numbers(x, 8) for x in group.column(name).to_pylist()).astype(np.float32).tobytes()
             for name in ("zeros", "ones")
         }
         first = {name: group.column(name)[:1] for name in ("predictor", "slice")}
@@ -427,7 +435,12 @@ def count_tables(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(entries: DataFrame) -> Mixer:
-    """Count, then learn weights and map online in every partition and average by what each has seen."""
+    """Count, then learn weights and map online in every learner's share and average by what each has seen.
+
+    The number of learners follows from the number of entries, and a learner's entries and
+    their order from hashes. Sums are taken in decimals. So neither the number of cores nor
+    the order of tasks changes what is learnt.
+    """
     tables = count_tables(entries)
     mixer = Mixer(*tables)
     shared = entries.sparkSession.sparkContext.broadcast(tables)
@@ -444,9 +457,14 @@ def train(entries: DataFrame) -> Mixer:
             parts = np.concatenate([np.full(own.weights.size, total), (seen + 1e-3).ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values), pa.array(parts)], names=["i", "v", "w"])
 
-    # Hash order within a partition mixes common and rare words.
-    dealt = entries.filter("n > 0").sortWithinPartitions(F.xxhash64("word", "kind", "head"))
-    sums = dealt.mapInArrow(learn, "i long, v double, w double").groupBy("i").agg(F.sum("v").alias("v"), F.sum("w").alias("w"))
+    known = entries.filter("n > 0")
+    learners = max(1, -(-known.count() // LEARNER))
+    # Hash order within a share mixes common and rare words.
+    order = F.xxhash64("word", "kind", "head")
+    dealt = known.repartition(learners, order).sortWithinPartitions(order, "word", "kind", "head")
+    exact = "decimal(38,12)"
+    sums = dealt.mapInArrow(learn, "i long, v double, w double").groupBy("i")
+    sums = sums.agg(*(F.sum(F.col(x).cast("decimal(28,12)")).cast(exact).cast("double").alias(x) for x in "vw"))
     rows = sums.toPandas().sort_values("i")
     if len(rows):
         mean = (rows["v"] / rows["w"]).to_numpy()
@@ -457,6 +475,16 @@ def train(entries: DataFrame) -> Mixer:
     return mixer
 
 
+def mixed_bits(built: np.ndarray, c: np.ndarray, plenty: np.ndarray, share: float) -> np.ndarray:
+    """Bits of words that the bytes give in ``built`` bits and that ``c`` of ``plenty`` words of their head are.
+
+    The sum of both chances is taken in logarithms, so words of any length keep their counts.
+    """
+    with np.errstate(divide="ignore"):
+        counted = np.log2(share * c) - np.log2(np.maximum(plenty, 1))
+    return np.where(plenty > 0, -np.logaddexp2(counted, math.log2(1 - share) - built), built)
+
+
 def _share(once: int, total: int) -> float:
     """Weight of the word counts: one less the chance of a new word (Good-Turing), which is the
     share of words seen once."""
@@ -509,57 +537,69 @@ def scores(docs: DataFrame) -> DataFrame:
                 c = column_of(part, "c").to_numpy()
                 if not heads:
                     plenty = np.array([own.head_total.get(head_of(w), 0) for w in words], float)
-                    built = np.exp2(-np.minimum(bits, 1000))
-                    chance = np.where(plenty > 0, share * c / np.maximum(plenty, 1) + (1 - share) * built, built)
-                    bits = np.where(bits > 900, bits - math.log2(1 - share), -np.log2(chance))
-                lengths = pa.array(np.array(list(map(len, words)), np.int32) + 1)
+                    bits = mixed_bits(bits, c, plenty, share)
                 yield pa.RecordBatch.from_arrays(
-                    [*(column_of(part, x) for x in ("word", "kind", "head", "c")), pa.array(bits), lengths],
-                    names=["word", "kind", "head", "c", "bits", "length"],
+                    [*(column_of(part, x) for x in ("word", "kind", "head", "c")), pa.array(bits)],
+                    names=["word", "kind", "head", "c", "bits"],
                 )
 
-    judged = counted.select("word", "kind", "head", "c").mapInArrow(
-        cost, "word binary, kind int, head boolean, c long, bits double, length int"
-    )
-    back = (
-        listed.drop("n")
-        .join(judged, ["word", "kind", "head"])
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("head", "at", "c", "bits", "length")).alias("known"))
-    )
+    judged = counted.select("word", "kind", "head", "c").mapInArrow(cost, "word binary, kind int, head boolean, c long, bits double")
+    known = listed.drop("n").join(judged, ["word", "kind", "head"]).select("block", "at", "head", "c", "bits")
     base = math.log10(total + 0.5 * (distinct + 1))
     out = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )
 
+    def summed(row: dict, known: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """The scores of a block's texts from its one wide row and its entries."""
+        ids, head_ids, sizes, lengths = (_numbers(row[x]) for x in ("ids", "head_ids", "sizes", "lengths"))
+        found = pa.Table.from_batches(known)
+        is_head = found.column("head").to_numpy()
+        at, count, cost = (found.column(x).to_numpy() for x in ("at", "c", "bits"))
+
+        def by_number(values: np.ndarray, mine: np.ndarray) -> np.ndarray:
+            out = np.zeros(int(mine.sum()), values.dtype)
+            out[at[mine]] = values[mine]
+            return out
+
+        c, bits, head_bits = by_number(count, ~is_head), by_number(cost, ~is_head), by_number(cost, is_head)
+        n = len(sizes)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        spent = np.bincount(owner, bits[ids] + head_bits[head_ids], n)
+        columns = [
+            pa.array(row["docs"], pa.int64()),
+            pa.array(np.frombuffer(row["held"], np.uint8).astype(bool)),
+            pa.array(sizes.astype(np.int64)),
+            pa.array(np.bincount(owner, c[ids] > 0, n).astype(np.int64)),
+            pa.array(np.full(n, total, np.int64)),
+            pa.array(np.bincount(owner, (np.log10(c + 0.5) - base)[ids], n)),
+            pa.array(-spent * math.log10(2)),
+            pa.array(spent / np.bincount(owner, lengths[ids] + 1, n)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in out.split(", ")])
+
     def total_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's wide row comes first, then its entries; one block's numbers are held at a time."""
+        row, entries_of = None, []
+        narrow = ["at", "head", "c", "bits"]
         for batch in given_back(batches):
-            for i in range(batch.num_rows):
-                row = {name: column_of(batch, name)[i] for name in batch.schema.names}
-                ids, head_ids, sizes = (_numbers(row[x].as_py()) for x in ("ids", "head_ids", "sizes"))
-                known = {x: row["known"].values.field(x).to_numpy(zero_copy_only=False) for x in ("head", "at", "c", "bits", "length")}
-
-                def by_number(name: str, head: bool) -> np.ndarray:
-                    mine = known["head"] == head
-                    out = np.zeros(int(mine.sum()), known[name].dtype)
-                    out[known["at"][mine]] = known[name][mine]
-                    return out
-
-                c, bits, lengths = (by_number(x, False) for x in ("c", "bits", "length"))
-                n = len(sizes)
-                owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
-                spent = np.bincount(owner, bits[ids] + by_number("bits", True)[head_ids], n)
-                columns = [
-                    row["docs"].values,
-                    pa.array(np.frombuffer(row["held"].as_py(), np.uint8).astype(bool)),
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array(np.bincount(owner, c[ids] > 0, n).astype(np.int64)),
-                    pa.array(np.full(n, total, np.int64)),
-                    pa.array(np.bincount(owner, (np.log10(c + 0.5) - base)[ids], n)),
-                    pa.array(-spent * math.log10(2)),
-                    pa.array(spent / np.bincount(owner, lengths[ids], n)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in out.split(", ")])
-
-    whole = packed.filter("at < 0").select("block", "ids", "head_ids", "sizes", "held", "docs").join(back, "block")
-    return whole.mapInArrow(total_up, out)
+            at = column_of(batch, "at").to_numpy()
+            cuts = sorted({0, *np.flatnonzero(at < 0).tolist(), len(at)})
+            for a, b in zip(cuts, cuts[1:]):
+                if at[a] < 0:
+                    if row is not None:
+                        yield summed(row, entries_of)
+                    row = {name: column_of(batch, name)[a].as_py() for name in wide}
+                    entries_of = []
+                    a += 1
+                if b > a:
+                    entries_of.append(batch.select(narrow).slice(a, b - a))
+        if row is not None:
+            yield summed(row, entries_of)
+
+    wide = ["ids", "head_ids", "sizes", "lengths", "held", "docs"]
+    whole = packed.filter("at < 0").select("block", "at", *wide)
+    rows = whole.unionByName(known, allowMissingColumns=True)
+    # Every block has the one entry of the end at least, so both kinds of rows meet by hash.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "block").sortWithinPartitions("block", "at").mapInArrow(total_up, out)

@@ -5,7 +5,9 @@ import random
 import zlib
 from array import array
 
+import numpy as np
 import public_tokenizers
+import pytest
 from samples import make, odd_rows, prose
 from tokenizers import Tokenizer
 
@@ -60,8 +62,6 @@ def test_lm_counts_of_odd_rows(odd, empty):
 
 
 def test_lm_model_is_a_distribution_over_bytes():
-    import numpy as np
-
     model = lm_score.Mixer(*(np.random.default_rng(i).integers(0, 9, (lm_score.PREDICTORS, 1 << lm_score.TABLE_BITS)) for i in (1, 2)))
     # All bytes after one prefix sum to one: 256 tails of one byte more.
     pairs = [(0, b"ab" + bytes([x])) for x in range(256)]
@@ -94,6 +94,134 @@ def without_repeats(rows, least=line_dedup.MIN_WORDS):
     return [(rows[k][0], None if rows[k][1] is None else "\n".join(x for i, x in enumerate(cut[k]) if i not in gone[k])) for k in range(len(rows))]
 
 
+def _long_word_scores(spark, letters):
+    keys = ["".join(chr(97 + (i * 7 + k * k * 3 + i * k) % 26) for k in range(letters)) for i in range(100)]
+    rows = [(1000 + i, f"the key {keys[i % 100]} stands here", "a") for i in range(1000)]
+    return lm_score.scores(make(spark, rows)).agg({"score": "avg"}).first()[0]
+
+
+def test_lm_scores_long_known_words_by_their_counts(spark):
+    short, long = _long_word_scores(spark, 150), _long_word_scores(spark, 1200)
+    assert abs(short - long) < 0.5
+
+
+def test_lm_mixes_counts_and_bytes_at_any_length():
+    built, c = np.array([3.0, 900.0, 901.0, 1e6, 1e6, 40.0]), np.array([5, 5, 5, 5, 0, 3])
+    plenty, share = np.array([50.0, 50, 50, 50, 50, 0]), 0.75
+    got = lm_score.mixed_bits(built, c, plenty, share)
+    assert got[0] == pytest.approx(-np.log2(0.75 * 0.1 + 0.25 / 8))
+    assert got[1:4] == pytest.approx(-np.log2(0.75 * 0.1)) and got[4] == pytest.approx(1e6 + 2) and got[5] == 40
+
+
+def test_lm_counts_stay_finite_and_whole():
+    big = np.array([0, 1, 4_300_000_000, 10**12 + 1, 2**52])
+    assert lm_score._numbers(lm_score._squeezed(big.astype(float), 8), 8).tolist() == big.tolist()
+    zeros = np.full((lm_score.PREDICTORS, 1 << lm_score.TABLE_BITS), 1e12, np.float32)
+    bits = lm_score.Mixer(zeros, zeros).entry_bits([(0, b"word ")], False)
+    assert np.isfinite(bits).all()
+
+
+def _hashed(context, salt):
+    x = (context + salt) % 2**64 * 0x9E3779B97F4A7C15 % 2**64
+    x ^= x >> 32
+    return (x * 0xBF58476D1CE4E5B9 % 2**64) >> 32
+
+
+def _plain_decisions(before, word, heads):
+    """(slots, bit, place) of every decision of an entry, a byte and a bit at a time."""
+    prime, wrap = 0x9E3779B97F4A7C15, 2**64
+    for at in range(len(word)):
+        contexts, running = [], 17
+        for order in range(1, max(lm_score.ORDERS) + 1):
+            running = ((running + (word[at - order] + 1 if at >= order else 0)) * prime + order) % wrap
+            if order in lm_score.ORDERS:
+                contexts.append(running)
+        total = sum((b + 1) * pow(0x100000001B3, k, wrap) for k, b in enumerate(word[:at]))
+        prefix = total * prime % wrap ^ (min(at, 255) << 56)
+        after = (before + 1) * 0xC2B2AE3D27D4EB4F
+        contexts.append(((prefix if heads else contexts[lm_score.ORDERS.index(3)]) + after) % wrap)
+        if not heads and at < lm_score.HEAD:
+            continue
+        for j in range(8):
+            node = (word[at] >> (8 - j) | 1 << j) * 0x9E3779B1 % 2**32
+            slots = [
+                ((_hashed(c, 101 * p + (7 if heads else 0)) ^ node) * 0x85EBCA6B % 2**32) >> (32 - lm_score.TABLE_BITS)
+                for p, c in enumerate(contexts)
+            ]
+            yield slots, word[at] >> (7 - j) & 1, min(at, 2)
+
+
+def _plain_bits(mixer, before, word, heads):
+    bits = 0.0
+    for slots, bit, place in _plain_decisions(before, word, heads):
+        pairs = [mixer.counts[p, s] for p, s in enumerate(slots)]
+        odds = [math.log((one + 0.04) / (zero + 0.04)) for zero, one in pairs]
+        wide, near = (float(sum(pairs[lm_score.ORDERS.index(k)])) for k in (4, 5))
+        gate = (place * 2 + (wide >= 100)) * 8 + sum(near >= x for x in (1, 3, 10, 40, 200, 1000, 10000))
+        t = max(-16.0, min(16.0, sum(w * x for w, x in zip(mixer.weights[gate], odds))))
+        p = 1 / (1 + math.exp(-t))
+        if abs(t) < 8:
+            where = (max(-7.999, min(7.999, t)) + 8) * (lm_score.CELLS - 1) / 16
+            cell = int(where)
+            p = (p + mixer.map[gate, cell] * (1 - where + cell) + mixer.map[gate, cell + 1] * (where - cell)) / 2
+        p = min(1 - 1e-7, max(1e-7, p))
+        bits -= math.log2(p if bit else 1 - p)
+    return bits
+
+
+def test_lm_score_equals_a_plain_walk(spark, monkeypatch):
+    """Every byte and bit of a small table scored one at a time, under the weights that were learnt."""
+    seen = []
+    train = lm_score.train
+    monkeypatch.setattr(lm_score, "train", lambda entries: seen.append(train(entries)) or seen[-1])
+    rows = [(i, t, s) for i, t, s in odd_rows() if t is None or len(t) < 20_000]
+    rows += [(100 + i, f"some words, and more words {i % 3}! Über alles", "a") for i in range(30)]
+    got = {r.doc_id: r.score for r in lm_score.scores(make(spark, rows)).collect() if r.doc_id is not None}
+    mixer = seen[0]
+    train_words = collections.Counter()
+    for i, text, _ in rows:
+        if zlib.crc32(str("" if i is None else i).encode()) % lm_score.FOLDS != lm_score.HELD_OUT:
+            train_words.update([*(text or "").encode().lower().split(), b""])
+    total, once = sum(train_words.values()), sum(n == 1 for n in train_words.values())
+    share = min(0.99, max(0.02, 1 - once / total))
+    plenty = collections.Counter()
+    for word, n in train_words.items():
+        plenty[lm_score.head_of(word)] += n
+    assert plenty == mixer.head_total
+    for i, text, _ in rows:
+        if i is None:
+            continue
+        score, last, script = 0.0, None, 0
+        for word in [*(text or "").encode().lower().split(), b""]:
+            mark = 0 if last is None else int(lm_score._MARK[last])
+            kind = 0 if last is None else int(lm_score._CLASS[last])
+            head = lm_score.head_of(word)
+            score += _plain_bits(mixer, script << 7 | mark, head, True)
+            tail = _plain_bits(mixer, kind, word + b" ", False)
+            if plenty[head]:
+                score -= math.log2(share * train_words[word] / plenty[head] + (1 - share) * 2.0**-tail)
+            else:
+                score += tail
+            last = word[-1] if word else 0
+            beyond = [b for b in word if b >= 128]
+            script = (beyond[-1] & 63) + 1 if beyond else script
+        assert got[i] == pytest.approx(-score * math.log10(2), rel=1e-4)
+
+
+def test_lm_does_not_depend_on_the_cut_of_its_input(documents):
+    """Other tasks and another number of shuffle partitions, as on another cluster, give the same scores."""
+    spark = documents.sparkSession
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    one = sorted(lm_score.scores(documents.repartition(7)).select("doc_id", "score").collect())
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        two = sorted(lm_score.scores(documents.coalesce(1)).select("doc_id", "score").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert [r.doc_id for r in one] == [r.doc_id for r in two]
+    assert [r.score for r in one] == pytest.approx([r.score for r in two], rel=1e-12)
+
+
 def test_line_dedup_equals_brute_force(spark):
     a, b, c, d = (prose(s, 30) for s in range(4))
     rows = [
