@@ -544,7 +544,10 @@ def scores(docs: DataFrame) -> DataFrame:
                 )
 
     judged = counted.select("word", "kind", "head", "c").mapInArrow(cost, "word binary, kind int, head boolean, c long, bits double")
-    known = listed.drop("n").join(judged, ["word", "kind", "head"]).select("block", "at", "head", "c", "bits")
+    # One whole number names block and kind of row, so that Spark sorts by it alone; the wide row comes first.
+    place = (F.col("block") * 2 + F.when(F.col("at") >= 0, 1).otherwise(0)).alias("place")
+    known = listed.drop("n").join(judged, ["word", "kind", "head"])
+    known = known.select(place, "at", "head", F.when(~F.col("head"), F.col("c")).alias("c"), F.col("bits").cast("float").alias("bits"))
     base = math.log10(total + 0.5 * (distinct + 1))
     out = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
@@ -555,7 +558,9 @@ def scores(docs: DataFrame) -> DataFrame:
         ids, head_ids, sizes, lengths = (_numbers(row[x]) for x in ("ids", "head_ids", "sizes", "lengths"))
         found = pa.Table.from_batches(known)
         is_head = found.column("head").to_numpy()
-        at, count, cost = (found.column(x).to_numpy() for x in ("at", "c", "bits"))
+        at = found.column("at").to_numpy()
+        count = found.column("c").fill_null(0).to_numpy()
+        cost = found.column("bits").to_numpy().astype(np.float64)
 
         def by_number(values: np.ndarray, mine: np.ndarray) -> np.ndarray:
             out = np.zeros(int(mine.sum()), values.dtype)
@@ -598,8 +603,8 @@ def scores(docs: DataFrame) -> DataFrame:
             yield summed(row, entries_of)
 
     wide = ["ids", "head_ids", "sizes", "lengths", "held", "docs"]
-    whole = packed.filter("at < 0").select("block", "at", *wide)
+    whole = packed.filter("at < 0").select(place, "at", *wide)
     rows = whole.unionByName(known, allowMissingColumns=True)
     # Every block has the one entry of the end at least, so both kinds of rows meet by hash.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "block").sortWithinPartitions("block", "at").mapInArrow(total_up, out)
+    return rows.repartition(parts, F.shiftright("place", 1)).sortWithinPartitions("place").mapInArrow(total_up, out)
