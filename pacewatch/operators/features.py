@@ -72,6 +72,15 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     )
 
 
+def completed(framed: DataFrame) -> DataFrame:
+    """Frames and gap of each row -> all rolling columns, with defaults where there is no history."""
+    computed = _with_zscore(_with_spend_ratios(framed))
+    frames = VELOCITY_FRAMES | SPEND_FRAMES | VOLATILITY_FRAMES
+    feature_names = [*frames, GAP, "amount_vs_avg_24h", "amount_vs_max_7d", "amount_zscore_7d"]
+    known = F.col("transaction_id").isNotNull()
+    return fill_defaults(computed.withColumns({c: F.when(known, F.col(c)) for c in feature_names}))
+
+
 def transaction_features(
     staged: DataFrame,
     hot_rows: int = HOT_ROWS,
@@ -85,11 +94,7 @@ def transaction_features(
     """
     frames = VELOCITY_FRAMES | SPEND_FRAMES | VOLATILITY_FRAMES
     framed = rolling(staged, frames, GAP, hot_rows=hot_rows, count_from=count_from)
-    computed = _with_zscore(_with_spend_ratios(framed))
-    feature_names = [*frames, GAP, "amount_vs_avg_24h", "amount_vs_max_7d", "amount_zscore_7d"]
-    known = F.col("transaction_id").isNotNull()
-    computed = computed.withColumns({c: F.when(known, F.col(c)) for c in feature_names})
-    return fill_defaults(computed).select(*TRANSACTION_FEATURE_COLUMNS, *keep)
+    return completed(framed).select(*TRANSACTION_FEATURE_COLUMNS, *keep)
 
 
 def assemble_features(

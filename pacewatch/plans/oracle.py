@@ -392,6 +392,10 @@ ORACLES: dict[str, str] = {
         {_r("total_amount_24h", 8)} FROM features WHERE is_fraud = 1""",
     "live_features": f"""WITH {_FEATURES} SELECT transaction_id, user_id, txn_count_7d,
         seconds_since_last_txn, {_r("total_amount_24h", 8)}, {_r("amount_zscore_7d", 6)} FROM features""",
+    "state_features": f"""WITH {_FEATURES} SELECT transaction_id, user_id, txn_count_7d,
+        seconds_since_last_txn, {_r("total_amount_24h", 8)}, {_r("amount_zscore_7d", 6)} FROM features""",
+    "state_features_late": f"""WITH {_FEATURES} SELECT transaction_id, user_id, txn_count_7d,
+        seconds_since_last_txn, {_r("total_amount_24h", 8)}, {_r("amount_zscore_7d", 6)} FROM features""",
     "account_features": f"{_ALL_PROFILES} SELECT {_profiles_out(True)} FROM profiles",
     "account_features_raw": f"{_ALL_PROFILES} SELECT {_profiles_out(False)} FROM profiles",
     "account_preview": f"{_ALL_PROFILES} SELECT {_profiles_out(True)} FROM profiles ORDER BY user_id LIMIT 5",

@@ -37,7 +37,7 @@ from pacewatch.sources import events as ev
 from pacewatch.sources import tables
 from pacewatch.sources.raw_csv import read_raw_csv
 from pacewatch.streaming import bronze as bronze_stream
-from pacewatch.streaming import live
+from pacewatch.streaming import live, state
 
 _EXACT = {"amount", *V_COLUMNS}
 _FINE = {
@@ -325,6 +325,30 @@ def live_features(spark, sf):
     return shown(current.select("transaction_id", "user_id", "txn_count_7d", "seconds_since_last_txn", "total_amount_24h", "amount_zscore_7d"))
 
 
+def _stateful(spark: SparkSession, sf: str, lateness: str, newest_first: bool) -> DataFrame:
+    """Features of a stream of four batches, by arrival or against it, kept in state."""
+    path = scratch(spark)
+    raw = adapter.bronze(spark, sf)
+    ends = raw.select(F.unix_seconds("_ingested_at").alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.01)
+    part = sum(((F.unix_seconds("_ingested_at") > int(end)).cast("int") for end in ends), F.lit(0))
+    for batch in sorted(range(len(ends) + 1), reverse=newest_first):
+        raw.filter(part == batch).coalesce(1).write.mode("append").parquet(f"{path}/bronze")
+    events = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/bronze")
+    state.start_state_features(events, f"{path}/features", f"{path}/checkpoint", lateness, mode="once").awaitTermination()
+    current = state.current_state_features(spark, f"{path}/features")
+    return shown(current.select("transaction_id", "user_id", "txn_count_7d", "seconds_since_last_txn", "total_amount_24h", "amount_zscore_7d"))
+
+
+def state_features(spark, sf):
+    """Features kept in the state store, batches in the order of arrival; equal to a full rebuild."""
+    return _stateful(spark, sf, "2 days", newest_first=False)
+
+
+def state_features_late(spark, sf):
+    """The same with the newest batch first: every later batch corrects rows that are out already."""
+    return _stateful(spark, sf, "60 days", newest_first=True)
+
+
 def latest_events(spark, sf):
     t = adapter.transactions(spark, sf)
     columns = ["transaction_id", "user_id", "event_time", "amount", "is_fraud"]
@@ -655,6 +679,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_metrics,
         bronze_ingest,
         live_features,
+        state_features,
+        state_features_late,
         latest_events,
         dq_report,
         dq_features,
