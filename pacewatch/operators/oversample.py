@@ -2,36 +2,40 @@
 
 SMOTE (Chawla et al., 2002) as joins. Equal vectors collapse to one with a copy count; a
 vector with more than ``k`` copies has only its copies as neighbours. The others are found
-in several trees of random cuts: each level projects on one random direction a tree and
-cuts every node at the quartiles of its projections, until nodes hold about ``LEAF``
-vectors. Each leaf is searched exactly and the best ``k`` of all trees are kept, so the work
-grows as n log n at every size. Up to ``LEAF`` distinct vectors form one leaf, and the
-neighbours are exact; beyond, tests hold the share of true neighbours found.
+through cells: some vectors are pivots, every vector belongs to its nearest pivot's cell, and
+is searched there first. Its k-th distance so far then bounds where else to look: a cell is
+passed over if the triangle inequality, or the plane halfway between its pivot and the
+vector's own, puts all of it farther away. Cells are visited nearest bound first until the
+bound passes the k-th distance, or until ``VISITED`` vectors were compared.
+
+So the neighbours are exact for up to ``VISITED`` (131,072) distinct vectors whatever they
+are, and beyond wherever the bounds end the search; the work per vector is bounded. Share of
+true neighbours found for independent normal vectors of 31 columns, the hardest case: 1.000
+at 10,000 and 100,000.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewatch.schema import MODEL_COLUMNS, OVERSAMPLE_NEIGHBOURS, OVERSAMPLE_RATIO
 from pacewatch.session import use_checkpoints
 
-TREES = 8
-LEAF = 192
-_FAN = 4
+#: Vectors a cell is meant to hold, and the most cells there are: their pivots go to every task.
+CELL, MAX_CELLS = 4_096, 16_384
+#: Vectors that one vector is compared with outside its own cell, at most.
+VISITED = 131_072
+#: Vectors that look through one piece of a cell in one task, and in one step of it.
+LOOKING, STEP = 65_536, 256
 _INDEX_BUCKETS = 1024
 
 
-def _distance(a: Column, b: Column) -> Column:
-    """Euclidean distance. Folding keeps generated code small enough to be compiled."""
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
-
-
 def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
     """Number rows 0..n-1 by a unique key, without one ordering of all rows."""
     bucketed = df.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(_INDEX_BUCKETS)))
@@ -47,41 +51,189 @@ def dense_index(df: DataFrame, key: str, name: str = "index") -> DataFrame:
     )
 
 
-def _leaves(vectors: DataFrame, distinct: int, width: int) -> DataFrame:
-    """(tree, node, id, h, v, copies): every vector once in each tree, in the node of its leaf."""
-    rng = np.random.default_rng(distinct % 97)
-    placed = vectors.select("*", F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("tree"), F.lit(0).cast("long").alias("node"))
-    size = distinct
-    while size > LEAF:
-        ways = F.array(*[F.array(*map(F.lit, rng.normal(size=width).tolist())) for _ in range(TREES)])
-        way = F.element_at(ways, F.col("tree"))
-        along = F.aggregate(F.zip_with("v", way, lambda x, w: x * w), F.lit(0.0), lambda t, x: t + x)
-        placed = placed.withColumn("at", along)
-        shares = F.array(*[F.lit(i / _FAN) for i in range(1, _FAN)])
-        cuts = placed.groupBy("tree", "node").agg(F.percentile_approx("at", shares, 1000).alias("cuts"))
-        branch = F.size(F.filter("cuts", lambda c: c < F.col("at")))
-        placed = placed.join(cuts, ["tree", "node"]).withColumn("node", F.col("node") * _FAN + branch).drop("cuts", "at").checkpoint()
-        size = -(-size // _FAN)
-    return placed
+def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances of rows by one product, and a bound of their rounding error."""
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    slack = 8 * (x.shape[1] + 4) * np.finfo(float).eps * float(xx.max(initial=0) + yy.max(initial=0))
+    return xx[:, None] + yy - 2 * (x @ y.T), slack
+
+
+def nearest_in(
+    q: np.ndarray, q_ids: np.ndarray, within: np.ndarray, v: np.ndarray, ids: np.ndarray, h: np.ndarray, k: int
+) -> tuple[np.ndarray, ...]:
+    """(q_id, d, h, id) of the k nearest other rows of each q, no farther than ``within``.
+
+    One product finds what can be near enough, allowing for its rounding; the distances of
+    those are then taken from the differences.
+    """
+    found = []
+    for at in range(0, len(q), STEP):
+        part, limit = q[at : at + STEP], within[at : at + STEP]
+        about, slack = _squares(part, v)
+        about[q_ids[at : at + STEP, None] == ids] = np.inf
+        open_ended = np.isinf(limit)
+        top = np.where(open_ended, np.inf, limit * limit) * (1 + 1e-12)
+        if open_ended.any() and len(ids) > k:
+            top[open_ended] = np.partition(about[open_ended], k - 1, axis=1)[:, k - 1]
+        row, col = np.nonzero((about <= top[:, None] + 2 * slack) & np.isfinite(about))
+        d = np.concatenate(
+            [np.zeros(0), *(np.sqrt(((part[row[i : i + 65_536]] - v[col[i : i + 65_536]]) ** 2).sum(1)) for i in range(0, len(row), 65_536))]
+        )
+        near = d <= limit[row]
+        row, col, d = row[near], col[near], d[near]
+        order = np.lexsort((ids[col], h[col], d, row))
+        row, col, d = row[order], col[order], d[order]
+        first = np.searchsorted(row, np.arange(len(part)))
+        kept = np.arange(len(row)) - first[row] < k
+        found.append((q_ids[at : at + STEP][row[kept]], d[kept], h[col[kept]], ids[col[kept]]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+class Cells:
+    """Pivots of all cells, with how many vectors a cell holds and how far they lie from its pivot."""
+
+    def __init__(self, pivots: np.ndarray, sizes: np.ndarray, radii: np.ndarray):
+        self.pivots, self.sizes, self.radii = pivots, sizes, radii
+
+    def home(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest pivot of each vector and the distance to it."""
+        d = self.distances(v)
+        own = d.argmin(1)
+        return own, d[np.arange(len(v)), own]
+
+    def distances(self, v: np.ndarray) -> np.ndarray:
+        """To every pivot; by differences, pivot by pivot, so that bounds can rely on them."""
+        return np.sqrt(np.stack([((v - p) ** 2).sum(1) for p in self.pivots], axis=1))
+
+    def visits(self, v: np.ndarray, own: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of the other cells that each vector has to look through."""
+        d = self.distances(v)
+        mine = d[np.arange(len(v)), own][:, None]
+        apart = self.between[own]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            halfway = np.where(apart > 0, (d * d - mine * mine) / (2 * apart), 0.0)
+        bound = np.maximum(d - self.radii, halfway) - 1e-9 * (d + mine)
+        bound[np.arange(len(v)), own] = np.inf
+        order = np.lexsort((d, np.maximum(bound, 0)), axis=1)
+        # The own cell comes last and is not counted.
+        ahead = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]
+        nearest_first = np.take_along_axis(bound, order, 1)
+        go = (nearest_first <= within[:, None]) & np.isfinite(nearest_first) & (ahead < VISITED)
+        row, place = np.nonzero(go)
+        cell = order[row, place]
+        there = self.sizes[cell] > 0
+        return row[there], cell[there]
+
+    @property
+    def between(self) -> np.ndarray:
+        """Distances between pivots, made once in a worker."""
+        if not hasattr(self, "_between"):
+            self._between = self.distances(self.pivots)
+        return self._between
+
+
+def _searched(members: DataFrame, looking: DataFrame, visits: dict[int, int], sizes: np.ndarray, width: int, k: int) -> DataFrame:
+    """(q_id, d, h, id): the k nearest members of a cell of each row (cell, q_id, v, within) that looks through it.
+
+    A cell's members are cut into pieces and those that look into chunks, so a task holds
+    about ``CELL`` and ``LOOKING`` rows however many there are.
+    """
+    spark = members.sparkSession
+    plan = [(c, max(1, -(-int(sizes[c]) // CELL)), max(1, -(-n // LOOKING))) for c, n in visits.items()]
+    # One row a cell, MAX_CELLS at most.
+    cut = F.broadcast(spark.createDataFrame(plan, "cell int, pieces int, chunks int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = members.join(cut, "cell").select(
+        "cell", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int").alias("piece"), every("chunks").alias("chunk"), "id", "h", "v", F.lit(None).cast("double").alias("within")
+    )
+    sent = looking.join(cut, "cell").select(
+        "cell", every("pieces").alias("piece"), F.pmod(F.xxhash64("q_id"), F.col("chunks")).cast("int").alias("chunk"), F.col("q_id").alias("id"), F.lit(0).cast("long").alias("h"), "v", "within"
+    )
+
+    def search(group: pa.Table) -> pa.Table:
+        asks = group.column("within").is_valid()
+        asked, there = group.filter(asks), group.filter(pa.compute.invert(asks))
+        numbers = lambda table, name: table.column(name).to_numpy()
+        found = nearest_in(
+            _matrix(asked.column("v"), width), numbers(asked, "id"), numbers(asked, "within"),
+            _matrix(there.column("v"), width), numbers(there, "id"), numbers(there, "h"), k,
+        )
+        return pa.table(dict(zip(("q_id", "d", "h", "id"), map(pa.array, found))))
+
+    return held.unionByName(sent).groupBy("cell", "piece", "chunk").applyInArrow(search, "q_id long, d double, h long, id long")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each q_id: (q_id, d, h, id)."""
+    order = Window.partitionBy("q_id").orderBy("d", "h", "id")
+    return found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
+
+
+def _near(numbered: DataFrame, distinct: int, width: int, k: int) -> DataFrame:
+    """(q_id, d, h, id): the k nearest other vectors of each."""
+    spark = numbered.sparkSession
+    count = min(MAX_CELLS, -(-distinct // CELL))
+    chosen = numbered.orderBy(F.xxhash64("h"), "h", "id").limit(count).select("v").collect()
+    cells = Cells(np.array([r["v"] for r in chosen], float), np.zeros(count), np.zeros(count))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = _matrix(batch.column("v"), width)
+            cell, d = cells.home(v)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("h"), batch.column("v"), pa.array(cell, pa.int32()), pa.array(d)], names=["id", "h", "v", "cell", "d"]
+            )
+
+    members = numbered.select("id", "h", "v").mapInArrow(place, "id long, h long, v array<double>, cell int, d double").checkpoint()
+    sizes, radii = np.zeros(count, np.int64), np.zeros(count)
+    for r in members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("far")).collect():
+        sizes[r["cell"]], radii[r["cell"]] = r["n"], r["far"]
+    cells = Cells(cells.pivots, sizes, radii)
+    everyone = members.select("cell", F.col("id").alias("q_id"), "v", F.lit(float("inf")).alias("within"))
+    here = _best(_searched(members, everyone, {c: int(n) for c, n in enumerate(sizes) if n}, sizes, width, k), k)
+    if count == 1:
+        return here
+    here = here.checkpoint()
+    # Fewer than k in the own cell bound nothing.
+    reach = here.groupBy("q_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("d")).alias("within"))
+    known = members.join(reach, F.col("id") == F.col("q_id"), "left").select(
+        F.col("id").alias("q_id"), "v", F.col("cell").alias("own"), F.coalesce("within", F.lit(float("inf"))).alias("within")
+    )
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                row, cell = cells.visits(_matrix(part.column("v"), width), part.column("own").to_numpy(), part.column("within").to_numpy())
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell, pa.int32()), *(part.column(x).take(take) for x in ("q_id", "v", "within"))], names=["cell", "q_id", "v", "within"]
+                )
+
+    looking = known.mapInArrow(leave, "cell int, q_id long, v array<double>, within double")
+    visits = {r["cell"]: r["count"] for r in looking.groupBy("cell").count().collect()}
+    if not visits:
+        return here
+    return _best(here.unionByName(_searched(members, looking, visits, sizes, width, k)), k)
 
 
 def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
-    """(v, neighbours): k near rows of each distinct vector, copies counted singly."""
+    """(v, neighbours): the k nearest rows of each distinct vector, copies counted singly.
+
+    ``vectors`` are (v, copies), all of one width, without nulls.
+    """
     distinct, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     if distinct == 1:
         return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
     numbered = vectors.select("v", "copies", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h"))
     # Written once: the ids stay what they are in every use below.
     numbered = numbered.checkpoint()
-    member = F.struct("id", "h", "v")
-    leaves = _leaves(numbered, distinct, width).groupBy("tree", "node").agg(F.collect_list(member).alias("all"))
-    one = leaves.select("all", F.explode("all").alias("q"))
-    others = F.filter("all", lambda m: m["id"] != F.col("q.id"))
-    ranked = F.transform(others, lambda m: F.struct(_distance(m["v"], F.col("q.v")).alias("d"), m["h"].alias("h"), m["id"].alias("id")))
-    found = one.select(F.col("q.id").alias("q_id"), F.slice(F.array_sort(ranked), 1, k).alias("near"))
-    # At most k of each tree.
-    best = found.groupBy("q_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k).alias("near"))
-    pairs = best.select("q_id", F.explode("near").alias("n")).select("q_id", "n.d", "n.h", "n.id")
+    pairs = _near(numbered, distinct, width, k)
     listed = (
         pairs.join(numbered.select("id", "v", "copies"), "id")
         .groupBy("q_id")
@@ -95,6 +247,22 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     )
 
 
+def positives(df: DataFrame, features: Sequence[str] = MODEL_COLUMNS, label: str = "is_fraud", id_col: str = "transaction_id") -> DataFrame:
+    """(id, v) of the minority rows, missing values 0."""
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    return df.filter(F.col(label) == 1).select(id_col, values.alias("v"))
+
+
+def nearest_rows(rows: DataFrame, k: int, id_col: str = "transaction_id") -> DataFrame:
+    """(id, rank, distance): how far the k nearest other rows of each row (id, v) lie."""
+    use_checkpoints(rows.sparkSession)
+    rows = rows.checkpoint()
+    near = nearest_vectors(rows.groupBy("v").agg(F.count(F.lit(1)).alias("copies")), k)
+    each = rows.join(near, "v").select(id_col, "v", F.posexplode("neighbours").alias("place", "other"))
+    squares = F.zip_with("v", "other", lambda x, y: (x - y) * (x - y))
+    return each.select(id_col, (F.col("place") + 1).alias("rank"), F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, x: t + x)).alias("distance"))
+
+
 def drawn(i: Column, seed: int, what: str, digits: int = 15) -> Column:
     """An integer of so many hexadecimal digits from the MD5 of (seed, what, i)."""
     text = F.concat_ws(":", F.lit(str(seed)), F.lit(what), i.cast("string"))
@@ -127,11 +295,8 @@ def smote(
         return original
     if minority_rows <= k:
         raise ValueError(f"{minority_rows} positives are too few for {k} neighbours")
-    minority = df.filter(F.col(label) == 1).select(
-        id_col, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]).alias("v")
-    )
     # The feature plan behind these few rows would otherwise run once per use below.
-    minority = minority.checkpoint()
+    minority = positives(df, features, label, id_col).checkpoint()
     distinct = minority.groupBy("v").agg(F.count(F.lit(1)).alias("copies"))
     neighbours = nearest_vectors(distinct, k)
     numbered = dense_index(minority, id_col).select("index", "v")

@@ -113,6 +113,17 @@ _FEATURES_OUT = f"""{_KEYS}, CAST(event_date AS VARCHAR) AS event_date, amount,
   txn_count_1h, txn_count_24h, txn_count_7d, seconds_since_last_txn, {_SPEND_OUT},
   {", ".join(_r(c, 6) for c in ("amount_vs_avg_24h", "amount_vs_max_7d", "amount_stddev_24h", "amount_stddev_7d", "amount_zscore_7d"))},
   {_VS}"""
+# The inputs of the model, in their order.
+_INPUTS = ", ".join(
+    f"coalesce({c}::DOUBLE, 0)"
+    for c in [
+        *(f"txn_count_{w}" for w in ("1h", "24h", "7d")),
+        "total_amount_1h", "total_amount_24h", "avg_amount_24h", "max_amount_24h", "min_amount_24h",
+        "amount_vs_avg_24h", "amount_vs_max_7d", "amount_stddev_24h", "amount_stddev_7d",
+        *(f"V{i}" for i in (*range(1, 13), 14, 16, 17, 18, 19, 21)),
+        "amount",
+    ]
+)
 _FEATURES_SQL = f"WITH {_FEATURES} SELECT {_FEATURES_OUT} FROM features"
 
 
@@ -482,6 +493,17 @@ ORACLES: dict[str, str] = {
                CAST(CAST('0x' || n[1:15] AS BIGINT) % 5 + 1 AS INTEGER) AS which,
                CAST('0x' || g[1:13] AS BIGINT) / 4503599627370496.0::DOUBLE AS gap,
                true AS between_positives, true AS on_segment FROM digests""",
+    "smote_neighbours": f"""WITH {_FEATURES}, positive AS (
+          SELECT transaction_id, [{_INPUTS}] AS v FROM features WHERE is_fraud = 1 AND amount > 60),
+        apart AS (
+          SELECT a.transaction_id, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance
+          FROM positive a JOIN positive b ON a.transaction_id <> b.transaction_id)
+        SELECT transaction_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance
+        FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY distance) AS rank FROM apart) WHERE rank <= 5""",
+    "gbt_score": f"""WITH {_SPLIT} SELECT transaction_id, CAST(is_fraud = 1 AND amount > 60 AS INTEGER) AS is_fraud,
+        true AS in_range, true AS same_by_nodes FROM tx, cut WHERE event_time >= c""",
+    "importances": """SELECT CAST(i + 1 AS INTEGER) AS rank, true AS ordered, true AS same_by_nodes, 1.0::DOUBLE AS total
+        FROM range(31) t(i)""",
     "training_report": f"""WITH {_SPLIT}, test AS (
           SELECT CASE WHEN is_fraud = 1 AND amount > 60 THEN 1 ELSE 0 END AS rare FROM tx, cut WHERE event_time >= c)
         SELECT 'test_size' AS metric, CAST(count(*) AS DOUBLE) AS value FROM test

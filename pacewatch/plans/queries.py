@@ -10,13 +10,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pacewatch.functions.scalars import account_bucket, feature_source
 from pacewatch.operators import features as feat
-from pacewatch.operators import incremental, metrics, model, online, quality, serving, split
-from pacewatch.operators.oversample import smote
+from pacewatch.operators import incremental, metrics, model, online, quality, serving, split, trees
+from pacewatch.operators.oversample import nearest_rows, positives, smote
 from pacewatch.operators.panes import paned_rolling
 from pacewatch.operators.rolling import rolling
 from pacewatch.operators.stage import stage
@@ -548,6 +548,11 @@ def smote_counts(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(finite).alias("finite_rows"))
 
 
+def smote_neighbours(spark, sf):
+    """How far the five nearest other positives of every positive lie."""
+    return shown(nearest_rows(positives(_rare(spark, sf)), 5))
+
+
 def smote_rows(spark, sf):
     """Every synthetic row's draws, and whether it lies where they put it between two positives."""
     rare = _rare(spark, sf).checkpoint() if use_checkpoints(spark) else None
@@ -577,15 +582,42 @@ def _fitted(spark: SparkSession, sf: str):
     return fitted, test
 
 
-def gbt_score(spark, sf):
+def _saved(spark: SparkSession, sf: str):
+    """A fitted model, the rows it has not seen, its nodes as a table, and the depth of its trees."""
     fitted, test = _fitted(spark, sf)
-    scored = model.predict(fitted, test)
-    return scored.select("transaction_id", "is_fraud", F.round("probability", 6).alias("probability"))
+    path = f"{scratch(spark)}/model"
+    model.save_model(fitted, path)
+    return fitted, test, trees.node_table(spark, path), trees.depth_of(spark, path)
+
+
+def gbt_score(spark, sf):
+    """Every later row scored by the fitted model and by a walk through its nodes as a table."""
+    fitted, test, nodes, depth = _saved(spark, sf)
+    walked = trees.walk(test, nodes, depth).withColumnRenamed("probability", "walked")
+    scored = model.predict(fitted, test).join(walked, "transaction_id", "left")
+    p = F.col("probability")
+    return scored.select(
+        "transaction_id",
+        "is_fraud",
+        ((p >= 0) & (p <= 1)).alias("in_range"),
+        F.coalesce(F.abs(p - F.col("walked")) < 1e-9, F.lit(False)).alias("same_by_nodes"),
+    )
 
 
 def importances(spark, sf):
-    fitted, _ = _fitted(spark, sf)
-    return model.top_importances(fitted, spark, 10)
+    """Every model input's weight from the table of nodes beside the fitted model's, in falling order."""
+    fitted, _, nodes, _ = _saved(spark, sf)
+    own = trees.importances(nodes).withColumnRenamed("importance", "by_nodes")
+    both = model.importances(fitted, spark).join(own, "feature")
+    ranked = both.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("importance"), "feature")))
+    top = Window.orderBy("rank")
+    fine = ranked.select(
+        "rank",
+        F.coalesce(F.lag("by_nodes").over(top) >= F.col("by_nodes") - 1e-9, F.lit(True)).alias("ordered"),
+        (F.abs(F.col("importance") - F.col("by_nodes")) < 1e-9).alias("same_by_nodes"),
+        F.round(F.sum("by_nodes").over(Window.partitionBy()), 6).alias("total"),
+    )
+    return fine
 
 
 def training_report(spark, sf):
@@ -705,6 +737,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rejected,
         smote_counts,
         smote_rows,
+        smote_neighbours,
         gbt_score,
         importances,
         training_report,

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pacewatch.operators import metrics, model, split
-from pacewatch.operators.oversample import dense_index, nearest_vectors, smote
+from pacewatch.operators import metrics, model, oversample, split, trees
+from pacewatch.operators.oversample import dense_index, nearest_rows, nearest_vectors, smote
 from pacewatch.schema import ACCOUNT_FEATURE_COLUMNS, MODEL_COLUMNS, TRANSACTION_FEATURE_COLUMNS
 
 
@@ -89,9 +89,12 @@ def brute(points, k):
 
 
 @pytest.mark.parametrize("case", ["uniform", "clusters", "copies", "line", "outliers"])
-def test_neighbours_are_exact_within_a_leaf(spark, case):
+def test_neighbours_are_exact_across_cells(spark, monkeypatch, case):
+    """Cells of a few vectors, so that most neighbours lie in others."""
+    monkeypatch.setattr(oversample, "CELL", 24)
+    monkeypatch.setattr(oversample, "LOOKING", 40)
     rng = np.random.default_rng(7)
-    n, k = 150, 5
+    n, k = 260, 5
     points = {
         "uniform": lambda: rng.random((n, 4)),
         "clusters": lambda: np.concatenate([rng.normal(c, 0.01, (n // 4, 4)) for c in (0, 1, 100, 1e6)]),
@@ -109,17 +112,52 @@ def test_neighbours_are_exact_within_a_leaf(spark, case):
         assert np.allclose(have, want[tuple(row.v)], rtol=1e-9, atol=1e-9), (case, row.v)
 
 
-def test_neighbours_across_leaves_are_mostly_true(spark):
-    rng = np.random.default_rng(3)
-    points, k = rng.normal(size=(1500, 8)), 5
+def recall_of(spark, points, k=5, looked=300):
     df = spark.createDataFrame([(p.tolist(), 1) for p in points], "v array<double>, copies long")
-    hits = 0
-    for row in nearest_vectors(df, k).collect():
+    hits, rows = 0, nearest_vectors(df, k).collect()
+    for row in rows[:looked]:
         d = ((points - np.array(row.v)) ** 2).sum(1)
         true = {tuple(points[i]) for i in np.argsort(d)[1 : k + 1]}
         assert len(row.neighbours) == k and tuple(row.v) not in {tuple(x) for x in row.neighbours}
         hits += len(true & {tuple(x) for x in row.neighbours})
-    assert hits > 0.85 * len(points) * k
+    return hits / (min(looked, len(rows)) * k)
+
+
+def test_neighbours_at_the_width_of_the_model_are_the_true_ones(spark):
+    assert recall_of(spark, np.random.default_rng(3).normal(size=(10_000, len(MODEL_COLUMNS)))) == 1.0
+
+
+def test_a_bounded_search_still_finds_most(spark, monkeypatch):
+    """Beyond the bound the nearest cells are looked through first; real features lie in clusters."""
+    monkeypatch.setattr(oversample, "CELL", 64)
+    monkeypatch.setattr(oversample, "VISITED", 512)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, len(MODEL_COLUMNS))) * 3
+    assert recall_of(spark, centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, len(MODEL_COLUMNS)))) >= 0.9
+
+
+def test_distances_of_nearest_rows(spark):
+    rows = [("a", [0.0, 0.0]), ("b", [3.0, 4.0]), ("c", [0.0, 0.0]), ("d", [0.0, 1.0])]
+    got = nearest_rows(spark.createDataFrame(rows, "transaction_id string, v array<double>"), 2).collect()
+    assert sorted((r.transaction_id, r["rank"], round(r.distance, 6)) for r in got) == [
+        ("a", 1, 0.0), ("a", 2, 1.0), ("b", 1, 4.242641), ("b", 2, 5.0), ("c", 1, 0.0), ("c", 2, 1.0), ("d", 1, 1.0), ("d", 2, 1.0),
+    ]
+
+
+def test_a_model_as_a_table_scores_and_weighs_alike(spark, tmp_path):
+    df = labelled(spark, 200, 400).withColumn("a", F.when(F.col("a") < 6.5, F.col("a")))
+    fitted = model.train(df, {"maxIter": 6, "maxDepth": 3}, ["a", "b", "c"])
+    model.save_model(fitted, str(tmp_path))
+    nodes, depth = trees.node_table(spark, str(tmp_path)), trees.depth_of(spark, str(tmp_path))
+    assert depth == 3 and nodes.select("tree").distinct().count() == 6
+    walked = {r.transaction_id: r.probability for r in trees.walk(df, nodes, depth, ["a", "b", "c"]).collect()}
+    scored = {r.transaction_id: r.probability for r in model.predict(fitted, df).collect()}
+    assert walked.keys() == scored.keys() and all(abs(walked[i] - scored[i]) < 1e-12 for i in scored)
+    weights = {r.feature: r.importance for r in trees.importances(nodes, ["a", "b", "c"]).collect()}
+    library = {r.feature: r.importance for r in model.importances(fitted, spark).collect()}
+    assert weights.keys() == library.keys() and all(abs(weights[f] - library[f]) < 1e-12 for f in library)
+    empty = trees.walk(df.limit(0), nodes, depth, ["a", "b", "c"])
+    assert empty.count() == 0
 
 
 def labelled(spark, positives, negatives):
