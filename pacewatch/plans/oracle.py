@@ -415,6 +415,11 @@ ORACLES: dict[str, str] = {
     "to_events": f"WITH {_RAW} SELECT * EXCLUDE (row_index, moment) FROM evs",
     "decode_events": _DECODED_SQL,
     "bronze_ingest": _DECODED_SQL,
+    "bronze_restart": _DECODED_SQL,
+    "bronze_interval": _DECODED_SQL,
+    "stream_metrics": f"""WITH {_RAW} SELECT CAST(count(transaction_id) AS BIGINT) AS sent,
+        CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS positives,
+        count(*) FILTER (WHERE transaction_id IS NULL) AS errors FROM decoded""",
     "ingest_metrics": f"""WITH {_RAW} SELECT count(transaction_id) AS sent,
         CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS positives,
         count(*) FILTER (WHERE transaction_id IS NULL) AS errors FROM decoded""",
@@ -450,6 +455,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'test_size', CAST(count(*) AS DOUBLE) FROM flags
         UNION ALL SELECT 'test_positives', CAST(sum(a) AS DOUBLE) FROM flags""",
     "online_hashes": f"{_ALL_PROFILES} " + " UNION ALL ".join(_entry(f) for f in _FIELDS),
+    "online_written": f"{_ALL_PROFILES} " + " UNION ALL ".join(_entry(f) for f in _FIELDS),
     "online_merge": f"WITH {_MERGE} "
     + " UNION ALL ".join(
         [_merged("max_amount_all_time", "mx"), _merged("seen_before", "seen"), _merged("total_txn_count", "n")]
@@ -524,4 +530,13 @@ ORACLES: dict[str, str] = {
             ("account_contract", "SELECT 'required_columns' AS \"check\", '*' AS \"column\", CAST(0 AS BIGINT) AS failures"),
         )
     ),
+    "publish_report": f"""WITH {_TX}, held AS (
+          SELECT 'whole' AS what, count(DISTINCT user_id) AS accounts, count(*) AS transactions FROM tx
+          UNION ALL SELECT 'part', count(DISTINCT user_id), count(*) FROM tx WHERE V1 <= 0),
+        steps(place, step, done, registered_from, published_from) AS (
+          VALUES (0, 'create', true, 'whole', 'whole'), (1, 'create_again', true, 'whole', 'part'), (2, 'dirty', false, 'whole', 'part'),
+                 (3, 'refresh', true, 'part', 'part'), (4, 'roll_back', true, 'part', 'part'))
+        SELECT CAST(place AS INTEGER) AS place, step, done, r.accounts, CAST(r.transactions AS BIGINT) AS transactions,
+               p.transactions AS published_rows, true AS registered
+        FROM steps JOIN held r ON r.what = registered_from JOIN held p ON p.what = published_from""",
 }

@@ -7,9 +7,11 @@ can be compared by value across engines.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +36,10 @@ from pacewatch.schema import (
 )
 from pacewatch.session import use_checkpoints
 from pacewatch.sources import events as ev
-from pacewatch.sources import tables
+from pacewatch.sources import key_value, published, tables
 from pacewatch.sources.raw_csv import read_raw_csv
 from pacewatch.streaming import bronze as bronze_stream
-from pacewatch.streaming import live, state
+from pacewatch.streaming import counters, live, state
 
 _EXACT = {"amount", *V_COLUMNS}
 _FINE = {
@@ -308,6 +310,85 @@ def bronze_ingest(spark, sf):
     return _decoded_view(spark.read.parquet(f"{path}/bronze"))
 
 
+def _drained(spark: SparkSession, path: str, **change) -> DataFrame:
+    query = bronze_stream.bronze_stream(
+        spark,
+        "transactions",
+        f"{path}/checkpoint",
+        **{
+            "fmt": "parquet",
+            "options": {"path": f"{path}/topic"},
+            "path": f"{path}/bronze",
+            "mode": "once",
+            "query_name": f"bronze_{uuid.uuid4().hex}",
+            **change,
+        },
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/bronze")
+
+
+def _made_once(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    """Messages carry the time they are made, so what is dealt out in portions is written first."""
+    made = _messages(spark, sf)
+    made.write.parquet(f"{path}/made")
+    return spark.read.schema(made.schema).parquet(f"{path}/made")
+
+
+def bronze_restart(spark, sf):
+    """A stream that breaks off between taking messages in and writing them, gets more, and goes on."""
+    path = scratch(spark)
+    messages = _made_once(spark, sf, path)
+    early = F.pmod(F.xxhash64("value"), F.lit(3)) > 0
+    messages.filter(early).write.parquet(f"{path}/topic")
+    topic = bronze_stream.read_events_stream(spark, "parquet", {"path": f"{path}/topic"})
+    # The offsets are logged before the first row of the batch is read, and that read fails.
+    failing = ev.decode_events(topic, "transactions").withColumn(
+        "user_id", F.when(F.length("user_id") > 0, F.raise_error(F.lit("power cut")).cast("string")).otherwise(F.col("user_id"))
+    )
+    try:
+        bronze_stream.start_bronze(failing, f"{path}/checkpoint", path=f"{path}/bronze", mode="once", query_name=f"broken_{uuid.uuid4().hex}").awaitTermination()
+        raise AssertionError("the first run was to fail")
+    except StreamingQueryException:
+        messages.filter(~early).write.mode("append").parquet(f"{path}/topic")
+    return _decoded_view(_drained(spark, path))
+
+
+def bronze_interval(spark, sf):
+    """The same messages in three portions through a stream that polls at an interval."""
+    path = scratch(spark)
+    messages = _made_once(spark, sf, path)
+    share = F.pmod(F.xxhash64("value"), F.lit(3))
+    portions = [lambda n=n: messages.filter(share == n).write.mode("append").parquet(f"{path}/topic") for n in range(3)]
+    portions[0]()
+    query = bronze_stream.bronze_stream(
+        spark, "transactions", f"{path}/checkpoint", fmt="parquet", options={"path": f"{path}/topic"},
+        path=f"{path}/bronze", mode="continuous", interval="200 milliseconds", query_name=f"bronze_{uuid.uuid4().hex}",
+    )
+    batches = bronze_stream.run_batches(query, [lambda: None, *portions[1:]])
+    if batches < 3:
+        raise AssertionError(f"{batches} batches for three portions")
+    return _decoded_view(spark.read.parquet(f"{path}/bronze"))
+
+
+def stream_metrics(spark, sf):
+    """What a listener wrote of the counters of every batch, summed up."""
+    path = scratch(spark)
+    _messages(spark, sf).repartition(4).write.parquet(f"{path}/topic")
+    counted = counters.IngestCounters(spark, f"{path}/counters", flush_rows=2)
+    spark.streams.addListener(counted)
+    try:
+        topic = bronze_stream.read_events_stream(spark, "parquet", {"path": f"{path}/topic", "maxFilesPerTrigger": "1"})
+        events = ev.observe_ingest(ev.decode_events(topic, "transactions"))
+        query = bronze_stream.start_bronze(events, f"{path}/checkpoint", path=f"{path}/bronze", mode="once", query_name=f"counted_{uuid.uuid4().hex}")
+        query.awaitTermination()
+        if not counted.wait(str(query.runId)):
+            raise TimeoutError("the listener did not hear of the end")
+    finally:
+        spark.streams.removeListener(counted)
+    return counters.read_counters(spark, f"{path}/counters").agg(*(F.sum(c).alias(c) for c in ("sent", "positives", "errors")))
+
+
 def live_features(spark, sf):
     """Features kept by a stream in several batches; equal to a full rebuild."""
     path = scratch(spark)
@@ -441,6 +522,34 @@ def online_hashes(spark, sf):
     ).select("key", "field", F.round(F.col("text").cast("double"), 8).alias("value"), "expires_at")
 
 
+def _lossy_client(uri: str):
+    """A file client whose first pipeline in a task breaks off when half is sent."""
+
+    class Lossy(key_value.FileClient):
+        lost = False
+
+        def put(self, name: str, data: bytes) -> None:
+            if not self.lost:
+                self.lost = True
+                with self.files.open_output_stream(f"{self.folder}/_half_{name}") as out:
+                    out.write(data[: len(data) // 2])
+                raise ConnectionError("connection lost")
+            super().put(name, data)
+
+    return Lossy(uri)
+
+
+def online_written(spark, sf):
+    """The online rows as an external writer put them, through a lost connection in every task, read back."""
+    uri = f"{scratch(spark)}/store"
+    hashes = online.to_online_hashes(feat.account_features(_features(spark, sf)), now=_now())
+    online.write_online(hashes, functools.partial(_lossy_client, uri), batch=50)
+    rows = key_value.read_written(spark, uri).withColumn("expires_at", _now().cast("timestamp") + F.make_dt_interval(secs=F.col("ttl")))
+    return rows.select(
+        "key", F.explode("fields").alias("field", "text"), text_time("expires_at").alias("expires_at")
+    ).select("key", "field", F.round(F.col("text").cast("double"), 8).alias("value"), "expires_at")
+
+
 def online_merge(spark, sf):
     """Stored rows meet a sync that brings one old field, one new field and new accounts."""
     t = adapter.transactions(spark, sf)
@@ -687,6 +796,31 @@ def refresh_report(spark, sf):
     return report.select("table", "check", "column", "failures", "published")
 
 
+def publish_report(spark, sf):
+    """What is registered and published after each of five runs: made, left alone, refused, replaced, taken back."""
+    path, name = scratch(spark), f"published_{uuid.uuid4().hex}"
+    whole = adapter.bronze(spark, sf)
+    part = whole.filter("V1 <= 0")
+    dirty = whole.withColumn("is_fraud", F.when(F.col("V2") > 3.5, 2).otherwise(F.col("is_fraud")))
+    seen = None
+    runs = [("create", whole, "create_only"), ("create_again", part, "create_only"), ("dirty", dirty, "refresh"), ("refresh", part, "refresh")]
+    for place, (step, bronze, mode) in enumerate([*runs, ("roll_back", None, "")]):
+        if bronze is None:
+            published.roll_back(spark, path)
+            done = True
+        else:
+            done = run_refresh(spark, bronze, path, name, mode).filter("not published").isEmpty()
+        table = tables.read_feature_table(spark, name)
+        held = table.agg(F.count(F.lit(1)).alias("accounts"), F.sum("total_txn_count").alias("transactions"))
+        rows = published.read_current(spark, path, "staged").count()
+        # One row a step, written: the name moves on to other files.
+        out = held.select(F.lit(place).alias("place"), F.lit(step).alias("step"), F.lit(done).alias("done"), "*", F.lit(rows).cast("long").alias("published_rows")).checkpoint()
+        seen = out if seen is None else seen.unionByName(out)
+    exists = tables.feature_table_exists(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return seen.withColumn("registered", F.lit(exists))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -710,6 +844,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         decode_events,
         ingest_metrics,
         bronze_ingest,
+        bronze_restart,
+        bronze_interval,
+        stream_metrics,
         live_features,
         state_features,
         state_features_late,
@@ -728,6 +865,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         score_curve,
         evaluate,
         online_hashes,
+        online_written,
         online_merge,
         lookup,
         proxy_vector,
@@ -745,5 +883,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topic_files,
         schema_contract,
         refresh_report,
+        publish_report,
     )
 }

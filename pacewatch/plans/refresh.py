@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from pacewatch.operators.quality import (
 )
 from pacewatch.operators.rolling import HOT_ROWS
 from pacewatch.operators.stage import stage
+from pacewatch.sources.published import new_version, point
 from pacewatch.sources.tables import register_features, write_features
 
 
@@ -35,10 +34,11 @@ def run_refresh(
     version are not disturbed and a crash leaves that version whole. Unreadable messages (no
     id or no account) go to ``quarantine`` and into no table. Only if every check of the
     features and profiles passes and the profiles keep their contract are the profiles
-    registered and the online rows written; ``path/current`` then names the version. The
-    report comes back either way, with ``published``.
+    registered and the online rows written; the pointer of ``path`` then names the version
+    (:mod:`pacewatch.sources.published`), and can be rolled back. The report comes back either
+    way, with ``published``.
     """
-    version = f"{path}/versions/{uuid.uuid4().hex}"
+    version = new_version(path)
     readable = F.col("transaction_id").isNotNull() & F.col("user_id").isNotNull()
     bronze.filter(~readable).write.parquet(f"{version}/quarantine")
     stage(bronze.filter(readable)).write.parquet(f"{version}/staged")
@@ -62,8 +62,7 @@ def run_refresh(
     # Raw events may be dirty, that is what the quarantine is for; what is published may not.
     clean = report.filter("table <> 'bronze' and failures > 0").isEmpty()
     if clean:
-        published = register_features(profiles, account_table, ["user_id"], mode)
+        published = register_features(profiles, account_table, ["user_id"], mode, f"{path}/registered")
         to_online_hashes(published).write.parquet(f"{version}/online_hashes")
-        named = spark.createDataFrame([(version,)], "version string")
-        named.coalesce(1).write.mode("overwrite").json(f"{path}/current")
+        point(spark, path, version)
     return report.withColumn("published", F.lit(clean))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewatch.operators.quality import primary_key
+from pacewatch.sources.published import new_version
 
 
 def read_feature_table(spark: SparkSession, name: str) -> DataFrame:
@@ -28,23 +29,36 @@ def write_features(features: DataFrame, path: str, partition_by: str = "is_fraud
 
 
 def register_features(
-    features: DataFrame, name: str, keys: Sequence[str] = ("user_id",), mode: str = "refresh"
+    features: DataFrame, name: str, keys: Sequence[str] = ("user_id",), mode: str = "refresh", path: str | None = None
 ) -> DataFrame:
     """Save a feature table with a checked primary key and return it.
 
-    ``create_only`` leaves an existing table alone; ``refresh`` replaces it.
+    ``create_only`` leaves an existing table alone; ``refresh`` replaces it. The rows go to a
+    new folder under ``path`` (by default beside the warehouse's tables), which is never
+    changed; the name is then moved to it by one change in the catalog, so readers see the
+    old table or the new one, and a crash before leaves the old one. Only where the columns
+    changed is the name dropped and made again; the folders stay.
     """
     if mode not in ("create_only", "refresh"):
         raise ValueError("mode is 'create_only' or 'refresh'")
     spark = features.sparkSession
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
-    if mode == "create_only" and feature_table_exists(spark, name):
+    exists = feature_table_exists(spark, name)
+    if mode == "create_only" and exists:
         return read_feature_table(spark, name)
     broken = primary_key(features, keys).limit(1).collect()
     if broken:
         raise ValueError(f"{name}: primary key {list(keys)} is null or repeated: {broken[0].asDict()}")
-    features.write.mode("overwrite").saveAsTable(name)
+    version = new_version(path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}.published")
+    features.write.parquet(version)
+    columns = spark.read.parquet(version).schema
+    if exists and spark.read.table(name).schema == columns:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=version, source="parquet")
+    spark.catalog.refreshTable(name)
     return read_feature_table(spark, name)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -59,6 +60,33 @@ def start_bronze(
     return writer.toTable(table) if table else writer.start(path)
 
 
+def run_batches(query: StreamingQuery, feed: Iterable[Callable[[], None]], seconds: float = 600) -> int:
+    """Drive a stream that polls at an interval: feed it step by step, let each be taken in, then stop.
+
+    Each step of ``feed`` puts messages where the stream finds them; the next one waits until
+    progress shows that all there is was taken in, so every step is a batch or more. The
+    stream is stopped between two batches. Returns the number of batches with rows. Raises
+    ``TimeoutError`` if a step is not taken in within ``seconds``, and the stream's own error.
+    """
+    for step in feed:
+        before = _batches(query)
+        step()
+        until = time.monotonic() + seconds
+        while _batches(query) == before or query.status["isDataAvailable"] or query.status["isTriggerActive"]:
+            if query.exception() is not None:
+                raise query.exception()
+            if time.monotonic() > until:
+                query.stop()
+                raise TimeoutError(f"no batch within {seconds} s")
+            time.sleep(0.05)
+    query.stop()
+    return _batches(query)
+
+
+def _batches(query: StreamingQuery) -> int:
+    return len({p.batchId for p in query.recentProgress if p.numInputRows})
+
+
 def bronze_stream(
     spark: SparkSession,
     topic: str,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pacewatch.schema import EVENT_SCHEMA, V_COLUMNS
 from pacewatch.sources import events as ev
-from pacewatch.sources import tables
+from pacewatch.sources import published, tables
 from pacewatch.sources.raw_csv import read_raw_csv
 
 HEADER = ["Time", *V_COLUMNS, "Amount", "Class"]
@@ -117,6 +117,37 @@ def test_register_modes_and_key_check(spark):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def test_a_version_is_in_force_until_the_next_is_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    assert published.pointer(spark, path) is None
+    with pytest.raises(ValueError):
+        published.read_current(spark, path)
+    versions = []
+    for n in (1, 2, 3):
+        versions.append(published.new_version(path))
+        spark.range(n).write.parquet(f"{versions[-1]}/t")
+        if n == 3:
+            break  # A crash before the rename: written, but not in force.
+        published.point(spark, path, versions[-1])
+    assert published.read_current(spark, path, "t").count() == 2
+    assert published.roll_back(spark, path) == versions[0] and published.read_current(spark, path, "t").count() == 1
+    assert published.roll_back(spark, path) == versions[1]
+    assert [p.name for p in tmp_path.iterdir() if "current" in p.name and not p.name.endswith(".crc")] == ["current"]
+
+
+def test_registered_readers_keep_their_version(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1)], "user_id string, n int")
+    two = spark.createDataFrame([("a", 5), ("b", 6)], "user_id string, n int")
+    try:
+        reader = tables.register_features(one, "kept_profiles", path=str(tmp_path))
+        assert tables.register_features(two, "kept_profiles", path=str(tmp_path)).count() == 2
+        assert reader.count() == 1 and len(list((tmp_path / "versions").iterdir())) == 2
+        wider = two.withColumn("m", two.n + 1)
+        assert tables.register_features(wider, "kept_profiles", path=str(tmp_path)).columns == ["user_id", "n", "m"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS kept_profiles")
+
+
 def test_latest_and_columns(spark):
     df = spark.createDataFrame([("a", 1, 5), ("b", 3, 6), ("c", 3, 7)], "transaction_id string, event_time int, user_id int")
     assert [r.transaction_id for r in tables.latest(df, n=2).collect()] == ["b", "c"]

@@ -9,6 +9,7 @@ from pacewatch.operators.stage import stage
 from pacewatch.plans import adapter
 from pacewatch.plans.refresh import run_refresh
 from pacewatch.schema import TOPIC_SCHEMA
+from pacewatch.sources import published
 from pacewatch.sources.events import decode_events, observe_ingest
 from pacewatch.streaming import bronze, live
 
@@ -185,8 +186,9 @@ def test_scoring_stream_sees_new_profiles_and_records_everything(spark, tmp_path
     assert refused == {"c": "amount is not positive", "d": "amount is not a number", "e": "no probability"}
 
 
-def published(path):
-    return json.loads(next((path / "current").glob("part-*")).read_text())["version"] if (path / "current").exists() else None
+def in_force(spark, path):
+    said = published.pointer(spark, str(path))
+    return said["version"] if said else None
 
 
 def test_refresh_publishes_only_what_is_clean(spark, sf_dir, tmp_path):
@@ -194,18 +196,18 @@ def test_refresh_publishes_only_what_is_clean(spark, sf_dir, tmp_path):
     try:
         report = run_refresh(spark, raw, str(tmp_path), "refreshed_profiles").collect()
         assert {r.failures for r in report} == {0} and {r.published for r in report} == {True}
-        first = published(tmp_path)
+        first = in_force(spark, tmp_path)
         assert spark.read.parquet(f"{first}/online_hashes").count() == spark.read.table("refreshed_profiles").count()
         # An unreadable message is set aside; it stops nothing and enters nothing.
         broken = raw.limit(1).withColumns({"transaction_id": F.lit(None).cast("string"), "user_id": F.lit(None).cast("string")})
         report = run_refresh(spark, raw.unionByName(broken), str(tmp_path), "refreshed_profiles").collect()
-        second = published(tmp_path)
+        second = in_force(spark, tmp_path)
         assert second != first and spark.read.parquet(f"{second}/quarantine").count() == 1
         assert {r.published for r in report} == {True}
         # A bad label does stop the run before anything is registered or published.
         bad = raw.withColumn("is_fraud", F.when(F.col("V1") > 3.9, 2).otherwise(F.col("is_fraud")))
         report = run_refresh(spark, bad, str(tmp_path), "refreshed_profiles").collect()
         assert {r.published for r in report} == {False} and any(r.failures for r in report)
-        assert published(tmp_path) == second
+        assert in_force(spark, tmp_path) == second
     finally:
         spark.sql("DROP TABLE IF EXISTS refreshed_profiles")
