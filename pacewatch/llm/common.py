@@ -121,11 +121,12 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, skip: int) -> DataFrame:
-    """Texts with labels to learn from: (doc_id, text, label, weight), at most ``per_class`` ids of a label.
+    """Texts with labels to learn from: (doc_id, text, label, weight), at most ``per_class`` rows of a label.
 
     ``weight`` is how many labelled ids of its class a drawn one stands for, so that weighted
-    rows have the class shares of all of them. Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no part. Ids are
-    drawn by hash, so reruns agree. The drawn ids are broadcast: their number is bounded.
+    rows have the class shares of all of them. An id that repeats gives one row, that of the
+    least text hash. Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no
+    part. Ids are drawn by hash, so reruns agree. The drawn ids are broadcast: their number is bounded.
     """
     marks = (
         only(labels, doc_id="long", **{label: "int"})
@@ -143,7 +144,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         stands_for = have.get(value, 0) / max(1, part.count()) if have.get(value, 0) > per_class else 1.0
         part = part.withColumn("weight", F.lit(float(stands_for)))
         drawn = part if drawn is None else drawn.unionByName(part)
-    return only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id")
+    # One text for each id, the one with the least hash: partial groups keep a hot id to a row a task.
+    texts = only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label", "weight")
+    return texts.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select("doc_id", "least.text", "label", "weight")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, weights: np.ndarray | None = None) -> np.ndarray:

@@ -122,8 +122,9 @@ def top_k(vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "em
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     groups = max(1, -(-n // GROUP))
-    # Ranges of ids: a group holds neighbours, and so do its blocks.
-    ranged = rows.repartitionByRange(groups, "id").withColumn("group", F.spark_partition_id())
+    # Ranges of ids: a group holds neighbours, and so do its blocks. The salt cuts ids that repeat.
+    salted = rows.withColumn("salt", F.monotonically_increasing_id())
+    ranged = salted.repartitionByRange(groups, "id", "salt").drop("salt").withColumn("group", F.spark_partition_id())
     asked = rows.filter(F.col("id") % every == 0).dropDuplicates(["id"])
     chunks = max(1, -(-n // every // CHUNK))
     placed = settled(ranged)

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from pacewatch.llm import quality, toxicity
+from pacewatch.llm import quality, topk, toxicity
 from pacewatch.llm.common import labelled_sample, table
 
 SF = "/root/testdata/sf0.1"
@@ -19,6 +19,31 @@ def test_sampled_rows_stand_for_all_of_their_class(spark):
             assert len(part) <= 50 and sum(part) == pytest.approx(sum((i % 8 == 0) == bool(label) for i in range(n)))
 
 
+def test_an_id_on_a_third_of_the_rows_gives_one_row(spark):
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, 7L, id) as doc_id", "if(id = 3, null, concat('text ', id % 5)) as text")
+    labels = spark.range(900).selectExpr("id as doc_id", "int(id % 2) as toxic")
+    rows = labelled_sample(docs, labels, "toxic", 10_000, 3, -1).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == docs.select("doc_id").distinct().count()
+    again = labelled_sample(docs.repartition(5), labels, "toxic", 10_000, 3, -1).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, again), key=repr)
+
+
+def test_a_vector_id_on_a_third_of_the_rows_is_cut(spark, monkeypatch):
+    """Groups stay near their size however often an id repeats, and the answer is the plain one."""
+    monkeypatch.setattr(topk, "GROUP", 40)
+    rng = np.random.default_rng(9)
+    rows = [(100 if i % 3 == 0 else i, rng.normal(size=6).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df).collect())
+    ids, v = np.array([i for i, _ in rows]), np.floor(256 * np.array([x for _, x in rows])).astype(int)
+    want = []
+    for q in sorted({i for i in ids.tolist() if i % 50 == 0} - {100}):
+        scores = v @ v[np.flatnonzero(ids == q)[0]]
+        best = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist()) if i != q)[:5]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert [r for r in got if r[0] != 100] == want
+
+
 def test_quality_cut_follows_all_rows_not_the_sample():
     rng = np.random.default_rng(1)
     y = (np.arange(8000) % 8 > 0).astype(int)
