@@ -59,14 +59,16 @@ BATCH = 32_768
 STEP = 20_000
 #: Slots of one slice of a table, as it is merged.
 SLICE = 1 << 14
+#: Numbers below this are told apart by counting, larger ones by sorting.
+COUNTED = 1 << 23
 #: Distinct entries that one learner walks through; their number decides how many learners there are.
 LEARNER = 1 << 19
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0x100000001B3
 #: Mark of a word by its last byte: each ASCII mark its own, letters, digits, beyond ASCII.
-_MARK = np.array([1 if b >= 128 else 2 if 97 <= b <= 122 else 3 if 48 <= b <= 57 else b & 31 | 32 | (b & 64) for b in range(256)])
+_MARK = np.array([1 if b >= 128 else 2 if 97 <= b <= 122 else 3 if 48 <= b <= 57 else b & 31 | 32 | (b & 64) for b in range(256)], np.int32)
 #: Class of a last byte for tails: plain, then kinds of marks that come in long rows.
-_CLASS = np.array([{**dict.fromkeys(b"#$%&*", 1), **dict.fromkeys(b"!", 2), **dict.fromkeys(b"|<>{}=/\\", 3)}.get(b, 0) for b in range(256)])
+_CLASS = np.array([{**dict.fromkeys(b"#$%&*", 1), **dict.fromkeys(b"!", 2), **dict.fromkeys(b"|<>{}=/\\", 3)}.get(b, 0) for b in range(256)], np.int32)
 _ASCII = bytes(range(128))
 
 Entries = list[tuple[int, bytes]]
@@ -245,12 +247,13 @@ def before(ids: np.ndarray, first: np.ndarray, words: list[bytes]) -> tuple[np.n
     The script is the last byte beyond ASCII in the text so far, which tells languages
     apart. Both are functions of the text before, so they take nothing from what comes.
     """
-    last = np.array([w[-1] if w else 0 for w in words], np.int64)
-    odd = np.array([0 if w.isascii() else (w.translate(None, _ASCII)[-1] & 63) + 1 for w in words], np.int64)
-    seen = np.where(first, 0, np.r_[0, last[ids][:-1]]) if len(ids) else ids
+    last = np.array([w[-1] if w else 0 for w in words], np.int32)
+    odd = np.array([0 if w.isascii() else (w.translate(None, _ASCII)[-1] & 63) + 1 for w in words], np.int32)
+    zero = np.zeros(1, np.int32)
+    seen = np.where(first, 0, np.r_[zero, last[ids][:-1]]) if len(ids) else ids
     mark = np.where(first, 0, _MARK[seen])
-    script = np.where(first, 0, np.r_[0, odd[ids][:-1]]) if len(ids) else ids
-    place = np.arange(len(ids))
+    script = np.where(first, 0, np.r_[zero, odd[ids][:-1]]) if len(ids) else ids
+    place = np.arange(len(ids), dtype=np.int32)
     # The last place with a script, but not before the text's own start.
     found = np.maximum.accumulate(np.where((script > 0) | first, place, 0)) if len(ids) else ids
     return script[found] << 7 | mark, np.where(first, 0, _CLASS[seen])
@@ -289,6 +292,9 @@ def _numbers(squeezed: bytes, size: int = 4) -> np.ndarray:
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct small numbers in order, and the place of each key among them."""
+    if int(keys.max()) >= COUNTED:
+        found, place = np.unique(keys, return_inverse=True)
+        return found, place.astype(np.int32)
     found = np.flatnonzero(np.bincount(keys))
     place = np.zeros(int(keys.max()) + 1, np.int32)
     place[found] = np.arange(len(found), dtype=np.int32)
@@ -307,7 +313,8 @@ def _packed(name: int, words: list[bytes], texts: list[np.ndarray], held: list[b
     starts: defaultdict = defaultdict()
     starts.default_factory = starts.__len__
     head_of_word = np.array([starts[head_of(w)] for w in words], np.int64)
-    pair, head_ids = _distinct(kinds * len(starts) + head_of_word[ids])
+    kind, kind_ids = _distinct(kinds)
+    pair, head_ids = _distinct(kind_ids.astype(np.int64) * len(starts) + head_of_word[ids])
     names = list(starts)
 
     def rows(head: bool, kind: np.ndarray, listed: list[bytes], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -321,7 +328,7 @@ def _packed(name: int, words: list[bytes], texts: list[np.ndarray], held: list[b
 
     lengths = np.array([len(w) for w in words], np.int64)[entry >> 2]
     yield from rows(False, entry & 3, [words[i] for i in entry >> 2], np.bincount(entry_ids[train], minlength=len(entry)))
-    yield from rows(True, pair // len(starts), [names[i] for i in pair % len(starts)], np.bincount(head_ids[train], minlength=len(pair)))
+    yield from rows(True, kind[pair // len(starts)], [names[i] for i in pair % len(starts)], np.bincount(head_ids[train], minlength=len(pair)))
     whole = {
         "block": name, "at": -1, "ids": _squeezed(entry_ids), "head_ids": _squeezed(head_ids),
         "sizes": _squeezed(sizes), "lengths": _squeezed(lengths), "held": np.array(held, np.uint8).tobytes(), "docs": keys,
@@ -356,7 +363,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             for text, key, out in zip(texts_of(batch), *columns):
                 words = text.lower().split()
                 words.append(b"")
-                texts.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
+                texts.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
                 keys.append(key)
                 held.append(out)
                 size += len(text) + 1
@@ -547,19 +554,27 @@ def scores(docs: DataFrame) -> DataFrame:
     # One whole number names block and kind of row, so that Spark sorts by it alone; the wide row comes first.
     place = (F.col("block") * 2 + F.when(F.col("at") >= 0, 1).otherwise(0)).alias("place")
     known = listed.drop("n").join(judged, ["word", "kind", "head"])
-    known = known.select(place, "at", "head", F.when(~F.col("head"), F.col("c")).alias("c"), F.col("bits").cast("float").alias("bits"))
+    known = known.select(
+        place,
+        F.col("head").cast("int").alias("kind"),
+        "at",
+        F.when(~F.col("head"), F.col("c")).otherwise(0).alias("c"),
+        F.col("bits").cast("float").alias("bits"),
+        F.lit(None).cast("binary").alias("whole"),
+    )
     base = math.log10(total + 0.5 * (distinct + 1))
-    out = (
+    result = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )
 
-    def summed(row: dict, known: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def summed(whole: bytes, known: list[pa.RecordBatch]) -> pa.RecordBatch:
         """The scores of a block's texts from its one wide row and its entries."""
-        ids, head_ids, sizes, lengths = (_numbers(row[x]) for x in ("ids", "head_ids", "sizes", "lengths"))
+        texts = pa.ipc.open_stream(whole).read_next_batch()
+        row = {name: texts.column(name)[0] for name in wide}
+        ids, head_ids, sizes, lengths = (_numbers(row[x].as_py()) for x in ("ids", "head_ids", "sizes", "lengths"))
         found = pa.Table.from_batches(known)
-        is_head = found.column("head").to_numpy()
-        at = found.column("at").to_numpy()
-        count = found.column("c").fill_null(0).to_numpy()
+        is_head = found.column("kind").to_numpy() == 1
+        at, count = found.column("at").to_numpy(), found.column("c").to_numpy()
         cost = found.column("bits").to_numpy().astype(np.float64)
 
         def by_number(values: np.ndarray, mine: np.ndarray) -> np.ndarray:
@@ -572,8 +587,8 @@ def scores(docs: DataFrame) -> DataFrame:
         owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
         spent = np.bincount(owner, bits[ids] + head_bits[head_ids], n)
         columns = [
-            pa.array(row["docs"], pa.int64()),
-            pa.array(np.frombuffer(row["held"], np.uint8).astype(bool)),
+            row["docs"].values,
+            pa.array(np.frombuffer(row["held"].as_py(), np.uint8).astype(bool)),
             pa.array(sizes.astype(np.int64)),
             pa.array(np.bincount(owner, c[ids] > 0, n).astype(np.int64)),
             pa.array(np.full(n, total, np.int64)),
@@ -581,30 +596,43 @@ def scores(docs: DataFrame) -> DataFrame:
             pa.array(-spent * math.log10(2)),
             pa.array(spent / np.bincount(owner, lengths[ids] + 1, n)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in out.split(", ")])
+        return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in result.split(", ")])
 
     def total_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's wide row comes first, then its entries; one block's numbers are held at a time."""
-        row, entries_of = None, []
-        narrow = ["at", "head", "c", "bits"]
+        whole, entries_of = None, []
+        narrow = ["kind", "at", "c", "bits"]
         for batch in given_back(batches):
-            at = column_of(batch, "at").to_numpy()
-            cuts = sorted({0, *np.flatnonzero(at < 0).tolist(), len(at)})
+            begins = np.flatnonzero(column_of(batch, "whole").is_valid().to_numpy(zero_copy_only=False))
+            cuts = sorted({0, *begins.tolist(), batch.num_rows})
+            starts = set(begins.tolist())
             for a, b in zip(cuts, cuts[1:]):
-                if at[a] < 0:
-                    if row is not None:
-                        yield summed(row, entries_of)
-                    row = {name: column_of(batch, name)[a].as_py() for name in wide}
-                    entries_of = []
+                if a in starts:
+                    if whole is not None:
+                        yield summed(whole, entries_of)
+                    whole, entries_of = column_of(batch, "whole")[a].as_py(), []
                     a += 1
                 if b > a:
                     entries_of.append(batch.select(narrow).slice(a, b - a))
-        if row is not None:
-            yield summed(row, entries_of)
+        if whole is not None:
+            yield summed(whole, entries_of)
 
     wide = ["ids", "head_ids", "sizes", "lengths", "held", "docs"]
-    whole = packed.filter("at < 0").select(place, "at", *wide)
-    rows = whole.unionByName(known, allowMissingColumns=True)
+    def one_value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's wide row as one binary value, so that its entries carry one empty column."""
+        for batch in given_back(batches):
+            values = []
+            for i in range(batch.num_rows):
+                sink = pa.BufferOutputStream()
+                one = pa.RecordBatch.from_arrays([pa.concat_arrays([column_of(batch, x).slice(i, 1)]) for x in wide], names=wide)
+                with pa.ipc.new_stream(sink, one.schema) as out:
+                    out.write_batch(one)
+                values.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([column_of(batch, "place"), pa.array(values, pa.binary())], names=["place", "whole"])
+
+    whole = packed.filter("at < 0").select(place, *wide).mapInArrow(one_value, "place long, whole binary")
+    rows = known.unionByName(whole, allowMissingColumns=True)
     # Every block has the one entry of the end at least, so both kinds of rows meet by hash.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, F.shiftright("place", 1)).sortWithinPartitions("place").mapInArrow(total_up, out)
+    met = rows.repartition(parts, F.shiftright("place", 1)).sortWithinPartitions("place")
+    return met.select("kind", "at", "c", "bits", "whole").mapInArrow(total_up, result)
