@@ -229,7 +229,7 @@ def nearest_vectors(vectors: DataFrame, k: int) -> DataFrame:
     """
     distinct, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     if distinct == 1:
-        return vectors.select("v", F.array_repeat(F.col("v"), k).alias("neighbours"))
+        return vectors.select("v", F.array_repeat(F.col("v"), F.least(F.col("copies") - 1, F.lit(k)).cast("int")).alias("neighbours"))
     numbered = vectors.select("v", "copies", F.monotonically_increasing_id().alias("id"), F.xxhash64("v").alias("h"))
     # Written once: the ids stay what they are in every use below.
     numbered = numbered.checkpoint()

@@ -144,6 +144,13 @@ def test_distances_of_nearest_rows(spark):
     ]
 
 
+def test_rows_without_other_rows_have_no_neighbours(spark):
+    schema = "transaction_id string, v array<double>"
+    assert nearest_rows(spark.createDataFrame([("a", [1.0])], schema), 2).count() == 0
+    assert nearest_rows(spark.createDataFrame([("a", [1.0]), ("b", [1.0])], schema), 5).count() == 2
+    assert nearest_rows(spark.createDataFrame([], schema), 2).count() == 0
+
+
 def test_a_model_as_a_table_scores_and_weighs_alike(spark, tmp_path):
     df = labelled(spark, 200, 400).withColumn("a", F.when(F.col("a") < 6.5, F.col("a")))
     fitted = model.train(df, {"maxIter": 6, "maxDepth": 3}, ["a", "b", "c"])
