@@ -264,3 +264,91 @@ def test_license_scan_equals_plain_search(documents):
     texts = {r.doc_id: r.text.lower() for r in documents.collect()}
     for r in license_scan.licenses(documents).collect():
         assert list(r.licenses) == sorted(k for k, v in known.items() if v in texts[r.doc_id])
+
+
+def plain_scan(text, templates=license_scan.TEMPLATES):
+    """Licences by comparing every template with every passage of the whole text, without blocks or compression."""
+    words = license_scan.wording(text.encode())
+    wanted = {name: license_scan.wording(t.encode()) for name, t in templates.items()}
+    bands = ((license_scan.WIDTHS[1], 1 << 30), license_scan.WIDTHS, (0, license_scan.WIDTHS[0]))
+
+    def best(part, allowed_words):
+        found = None
+        for name, template in sorted(wanted.items()):
+            if not allowed_words[0] < len(template) <= allowed_words[1]:
+                continue
+            cost, price = license_scan.prices(part), license_scan.prices(template)
+            row = [(0, j) for j in range(len(part) + 1)]  # cost, minus the start
+            for word, lost in zip(template, price):
+                new = [(row[0][0] + lost, 0)]
+                for j, other in enumerate(part, 1):
+                    swap = 0 if other == word else max(lost, cost[j - 1])
+                    new.append(min((row[j - 1][0] + swap, row[j - 1][1]), (row[j][0] + lost, row[j][1]), (new[-1][0] + cost[j - 1], new[-1][1])))
+                row = new
+            end = min(range(len(row)), key=lambda j: row[j][0])
+            if row[end][0] <= int(license_scan.DIFFERENT * len(template)) and (found is None or len(template) - row[end][0] > found[0]):
+                found = (len(template) - row[end][0], name.partition("/")[0], row[end][1], end)
+        return found
+
+    out, parts = [], [words]
+    for band in bands:
+        left = []
+        while parts:
+            part = parts.pop()
+            hit = best(part, band) if part else None
+            if hit is None:
+                left.append(part)
+                continue
+            out.append(hit[1])
+            parts += [part[: hit[2]], part[hit[3] :]]
+        parts = left
+    return sorted(out)
+
+
+def test_license_scan_equals_every_template_everywhere():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    rnd = random.Random(4)
+    names = sorted(license_scan.TEMPLATES)
+    texts = [f"{prose(i, 30)} {license_scan.TEMPLATES[n]} {prose(i + 1, 25)}" for i, n in enumerate(names)]
+    for i in range(25):
+        parts = [license_scan.TEMPLATES[rnd.choice(names)] for _ in range(3)]
+        # A word goes, is changed or put in, up to more than is allowed.
+        words = " ".join(parts[1:]).split()
+        for _ in range(rnd.randint(0, 6)):
+            at = rnd.randrange(len(words))
+            words[at : at + 1] = rnd.choice(([], ["other"], [words[at], "more"]))
+        texts.append(f"{prose(i, 3 * i)} {parts[0]} {' '.join(words)} {prose(i + 1, i)}")
+    for text in texts:
+        assert sorted(m.license for m in scanner.scan(text.encode()) if m.confirmed) == plain_scan(text), text
+    for i, name in enumerate(names):
+        assert [m.license for m in scanner.scan(texts[i].encode()) if m.confirmed] == [name.partition("/")[0]]
+
+
+def test_license_scan_finds_all_of_a_block(spark):
+    whole, far = license_scan.TEMPLATES["MIT-text/whole"], " ".join(prose(2, 28).split())
+    header = license_scan.TEMPLATES["GPL-3.0/header"]
+    many = " ".join([license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["CC-BY-SA-4.0"]] * 300)
+    rows = [
+        (1, "Released under the MIT License. Licensed under the Apache License, Version 2.0.", "s"),
+        (2, f"a copyright notice follows here {far} {whole}", "s"),
+        (3, "# SPDX-License-Identifier: MIT\nimport x", "s"),
+        (4, " * " + header.replace("General", "\n * General"), "s"),
+        (5, header.replace("version 3", "version 4"), "s"),
+        (6, license_scan.TEMPLATES["GPL-3.0"].replace("General", "Affero General"), "s"),
+        (7, license_scan.TEMPLATES["CC-BY-4.0/notice"].replace("Attribution", "Attribution-NoDerivatives"), "s"),
+        (8, "// SPDX-License-Identifier: LGPL-2.1-or-later", "s"),
+        (9, "This work is licenced under the GNU General Public Licence, version 2", "s"),
+        (10, license_scan.TEMPLATES["BSD-3-Clause"], "s"), (11, license_scan.TEMPLATES["BSD-2-Clause"], "s"),
+        (12, many, "s"),
+    ]
+    got = {r.doc_id: r for r in license_scan.licenses(make(spark, rows)).collect()}
+    want = {
+        1: ["Apache-2.0", "MIT"], 2: ["MIT-text"], 3: ["MIT"], 4: ["GPL-3.0"], 5: [], 6: [], 7: [], 8: ["LGPL-2.1"],
+        9: ["GPL-2.0"], 10: ["BSD-3-Clause"], 11: ["BSD-2-Clause"], 12: ["CC-BY-SA-4.0", "MIT"],
+    }
+    assert {i: list(r.licenses) for i, r in got.items()} == want
+    assert got[12].n_blocks == 600
+    spans = [(m.first, m.last) for m in got[12].matches]
+    assert spans == sorted(spans) and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    with pytest.raises(ValueError):
+        license_scan.Scanner({"x": "words that open no block"})
