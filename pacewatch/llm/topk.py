@@ -4,17 +4,23 @@ Candidates, in id order, are cut into blocks of consecutive rows; a block is a f
 (one quantised vector per row) with the least and greatest value of every term. For a query
 the greatest possible score in a block is the sum over its terms of weight times the maximum
 (the minimum where the weight is negative). Blocks are visited in the order of their bounds,
-and a query is done with a group of blocks once the next bound falls below its k-th score.
+and a query is done once the next bound falls below its k-th score.
+
+Blocks lie in groups, one a task. A query first searches the group with its greatest bound;
+the k-th score found there is its floor. It then goes only to those other groups whose bound
+reaches the floor, and starts there with the floor as its k-th score.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import settled
+from pacewatch.llm.common import column_of, settled
 
 #: Rows of a block.
 BLOCK = 256
@@ -22,6 +28,8 @@ BLOCK = 256
 GROUP = 8_192
 #: Queries of a chunk.
 CHUNK = 1_024
+#: Groups whose extremes one task compares with one chunk of queries.
+PACK = 1_024
 #: Scores are exact in double arithmetic below this.
 EXACT = float(1 << 53)
 
@@ -64,9 +72,13 @@ def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 
 
 def search(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, block: int = BLOCK
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, block: int = BLOCK,
+    floor: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, row id, score) of the k best rows of every query; the work is by blocks."""
+    """(query id, row id, score) of the k best rows of every query; the work is by blocks.
+
+    Of rows that score below a query's ``floor`` some or all may be left out.
+    """
     starts = np.arange(0, len(ids), block)
     low = np.minimum.reduceat(rows, starts, axis=0)
     high = np.maximum.reduceat(rows, starts, axis=0)
@@ -78,10 +90,11 @@ def search(
     who = np.full((n, k), none.max)
     full = np.zeros(n, np.int64)
     active = np.arange(n)
+    least = np.full(n, -np.inf) if floor is None else floor.astype(np.float64)
     for step in range(len(starts)):
         at = order[active, step]
         # A row that ties with the k-th may have the smaller id, so equal bounds are searched.
-        open_ = (full[active] < k) | (top[active, at] >= best[active, k - 1])
+        open_ = ((full[active] < k) | (top[active, at] >= best[active, k - 1])) & (top[active, at] >= least[active])
         active, at = active[open_], at[open_]
         if not len(active):
             break
@@ -104,6 +117,80 @@ def search(
     return np.repeat(query_ids, k).reshape(n, k)[have], who[have], best[have]
 
 
+def extremes(placed: DataFrame, width: int) -> DataFrame:
+    """(group, low, high): least and greatest value of every component, a row or a few for each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = column_of(batch, "group").to_numpy(zero_copy_only=False)
+            v = matrix(column_of(batch, "v"), width)
+            names = np.unique(group)
+            parts = [v[group == g] for g in names]
+            kind = pa.list_(pa.int64())
+            low, high = ([list(f(p, axis=0)) for p in parts] for f in (np.min, np.max))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(low, kind), pa.array(high, kind)], names=["group", "low", "high"])
+
+    return placed.select("group", "v").mapInArrow(run, "group int, low array<long>, high array<long>")
+
+
+def reached(asked: DataFrame, ends: DataFrame, width: int, packs: int, chunks: int) -> DataFrame:
+    """(id, chunk, group, bound): the groups each query goes to.
+
+    ``asked`` has (id, chunk, v, floor, done). Without a group that is done this is the one
+    with the greatest bound of every pack; else all others whose bound reaches the floor.
+    """
+    none = F.lit(None)
+    columns = ("pack", "chunk", "side", "id", "v", "high", "floor", "done")
+    queries = asked.withColumns({"pack": F.explode(F.sequence(F.lit(0), F.lit(packs - 1))), "side": F.lit(0), "high": none.cast("array<long>")})
+    groups = ends.select(
+        F.expr(f"group div {PACK}").cast("int").alias("pack"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(1).alias("side"),
+        F.col("group").cast("long").alias("id"), F.col("low").alias("v"), "high", none.cast("long").alias("floor"), none.cast("int").alias("done"),
+    )
+
+    def run(part: pa.Table) -> pa.Table:
+        side = part.column("side").to_numpy()
+        ids = part.column("id").to_numpy()
+        q, g = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        g = g[np.argsort(ids[g], kind="stable")]
+        names, starts = np.unique(ids[g], return_index=True)
+        if not len(q) or not len(g):
+            at, to, best = np.zeros(0, int), np.zeros(0, int), np.zeros((0, 0))
+        else:
+            v = part.column("v").combine_chunks()
+            best = bounds(matrix(v.take(q), width), matrix(v.take(g), width), matrix(part.column("high").combine_chunks().take(g), width))
+            best = np.maximum.reduceat(best, starts, axis=1)
+            done = part.column("done").to_pandas().to_numpy(float)[q]
+            floor = part.column("floor").to_pandas().fillna(-np.inf).to_numpy(float)[q]
+            first = best.argmax(axis=1)[:, None] == np.arange(len(names))
+            others = (best >= floor[:, None]) & (names[None, :] != done[:, None])
+            at, to = np.nonzero(np.where(np.isnan(done)[:, None], first, others))
+        chunk = part.column("chunk").to_numpy()[q]
+        return pa.table({"id": ids[q][at], "chunk": pa.array(chunk[at], pa.int32()), "group": pa.array(names[to], pa.int32()), "bound": pa.array(best[at, to], pa.float64())})
+
+    both = queries.select(*columns).unionByName(groups.select(*columns))
+    return both.groupBy("pack", "chunk").applyInArrow(run, "id long, chunk int, group int, bound double")
+
+
+def searched(pairs: DataFrame, asked: DataFrame, placed: DataFrame, width: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): up to k best rows of each (id, chunk, group) in ``pairs``."""
+    columns = ("group", "chunk", "side", "id", "v", "floor")
+    sent = pairs.select("id", "group").join(asked, "id").withColumn("side", F.lit(0))
+    wanted = placed.join(pairs.select("group", "chunk").distinct(), "group").withColumns({"side": F.lit(1), "floor": F.lit(None).cast("long")})
+
+    def run(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        ids = group.column("id").to_numpy()
+        v = matrix(group.column("v").combine_chunks(), width)
+        floor = group.column("floor").to_pandas().fillna(-np.inf).to_numpy(float)
+        q, c = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        c = c[np.argsort(ids[c], kind="stable")]
+        parts = search(ids[q], v[q], ids[c], v[c], k, floor=floor[q]) if len(q) and len(c) else (np.zeros(0, np.int64),) * 3
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, parts))))
+
+    both = sent.select(*columns).unionByName(wanted.select(*columns))
+    return both.groupBy("group", "chunk").applyInArrow(run, "query_id long, vec_id long, score long")
+
+
 def top_k(vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: int = 256, every: int = 50) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of every query, ties to the smaller id.
 
@@ -113,8 +200,10 @@ def top_k(vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "em
     the shorter one. A repeated row is a candidate once for each time it stands there, but
     a query is answered once. Other columns are not read; an empty table gives no rows.
 
-    Every chunk of queries meets every group of blocks once, which is the stated query set
-    against all rows in blocks; what leaves a task is k rows for each query.
+    Queries go in chunks to groups of rows: each first to the group of its greatest bound,
+    then to those whose bound reaches the k-th score of the first. What leaves a task is k
+    rows for each query. A task holds a chunk and a group, or a chunk and the extremes of a
+    pack of groups.
     """
     spark = vectors.sparkSession
     rows = settled(quantised(vectors, key, vector, scale).filter("id is not null"))
@@ -125,28 +214,25 @@ def top_k(vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "em
     # Ranges of ids: a group holds neighbours, and so do its blocks. The salt cuts ids that repeat.
     salted = rows.withColumn("salt", F.monotonically_increasing_id())
     ranged = salted.repartitionByRange(groups, "id", "salt").drop("salt").withColumn("group", F.spark_partition_id())
-    asked = rows.filter(F.col("id") % every == 0).dropDuplicates(["id"])
     chunks = max(1, -(-n // every // CHUNK))
     placed = settled(ranged)
     found = placed.agg(F.max("group")).first()[0] + 1
-    chunked = asked.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-
-    def both(frame: DataFrame, side: int) -> DataFrame:
-        return frame.select("group", "chunk", F.lit(side).alias("side"), "id", "v")
-
-    sent = both(chunked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(found - 1)))), 0)
-    blocks = both(placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))), 1)
-
-    def run(group: pa.Table) -> pa.Table:
-        side = group.column("side").to_numpy()
-        ids = group.column("id").to_numpy()
-        v = matrix(group.column("v").combine_chunks(), width)
-        q, c = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        c = c[np.argsort(ids[c], kind="stable")]
-        parts = search(ids[q], v[q], ids[c], v[c], k) if len(q) and len(c) else (np.zeros(0, np.int64),) * 3
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, parts))))
-
-    near = sent.unionByName(blocks).groupBy("group", "chunk").applyInArrow(run, "query_id long, vec_id long, score long")
+    packs = -(-found // PACK)
+    none = F.lit(None)
+    # Written once: of a repeated id every step must ask with the same vector.
+    asked = settled(
+        rows.filter(F.col("id") % every == 0).dropDuplicates(["id"]).select(
+            "id", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "v", none.cast("long").alias("floor"), none.cast("int").alias("done")
+        )
+    )
+    ends = settled(extremes(placed, width))
+    most = F.max_by("group", F.struct(F.col("bound"), -F.col("group")))
+    first = settled(reached(asked, ends, width, packs, chunks).groupBy("id", "chunk").agg(most.alias("group")))
+    near = settled(searched(first, asked, placed, width, k))
+    if found > 1:
+        floors = near.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+        again = settled(asked.drop("floor", "done").join(first.select("id", F.col("group").alias("done")), "id").join(floors, "id", "left"))
+        others = settled(reached(again, ends, width, packs, chunks))
+        near = near.unionByName(searched(others, again, placed, width, k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-

@@ -44,6 +44,29 @@ def test_a_vector_id_on_a_third_of_the_rows_is_cut(spark, monkeypatch):
     assert [r for r in got if r[0] != 100] == want
 
 
+def test_a_query_goes_only_to_groups_whose_bound_reaches_its_floor(spark, monkeypatch):
+    """Rows of one direction lie side by side, so most groups are out of reach; the answer is the plain one."""
+    monkeypatch.setattr(topk, "GROUP", 50)
+    monkeypatch.setattr(topk, "PACK", 3)
+    monkeypatch.setattr(topk, "CHUNK", 5)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(1000, 4)) * 0.05
+    v[np.arange(1000), np.arange(1000) // 250] += 1
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    sent = []
+    plain = topk.searched
+    monkeypatch.setattr(topk, "searched", lambda pairs, *rest: (sent.append(pairs.count()), plain(pairs, *rest))[1])
+    got = sorted(tuple(r) for r in topk.top_k(df).collect())
+    whole = np.floor(256 * v).astype(int)
+    want = []
+    for q in range(0, 1000, 50):
+        best = sorted((-s, i) for i, s in enumerate((whole @ whole[q]).tolist()) if i != q)[:5]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert got == want
+    groups = 20
+    assert sent[0] == 20 and 0 < sent[1] < 20 * groups * 0.4
+
+
 def test_quality_cut_follows_all_rows_not_the_sample():
     rng = np.random.default_rng(1)
     y = (np.arange(8000) % 8 > 0).astype(int)
