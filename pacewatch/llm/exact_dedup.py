@@ -23,6 +23,10 @@ SEGMENT_KEYS = 1 << 18
 #: Fingerprints gathered before a partition's filter is sealed and sent on.
 FILTER_KEYS = 1 << 20
 
+#: Bits, as a power of two, of the map of suspects that goes to every task: a million rows of two
+#: numbers, 16 MB, at most. With very many suspects it fills up and lets more rows through, never fewer.
+MAP_BITS = 26
+
 FILTER_SCHEMA = "segment int, quotients binary, remainders binary, counts binary"
 
 
@@ -43,18 +47,22 @@ class QuotientFilter:
         shift = np.uint64(64 - quotient_bits)
         return cls((keys >> shift).astype(np.uint32), keys & ((np.uint64(1) << shift) - np.uint64(1)), counts, quotient_bits)
 
-    def merge(self, other: QuotientFilter) -> QuotientFilter:
-        """Merge by sorted (quotient, remainder); the counts of equal pairs add up."""
-        quotients = np.concatenate([self.quotients, other.quotients])
-        remainders = np.concatenate([self.remainders, other.remainders])
-        counts = np.concatenate([self.counts, other.counts])
+    @classmethod
+    def merged(cls, parts: list[QuotientFilter]) -> QuotientFilter:
+        """One filter by sorted (quotient, remainder); the counts of equal pairs add up."""
+        quotients = np.concatenate([p.quotients for p in parts])
+        remainders = np.concatenate([p.remainders for p in parts])
+        counts = np.concatenate([p.counts for p in parts])
         order = np.lexsort((remainders, quotients))
         quotients, remainders = quotients[order], remainders[order]
         new = np.ones(len(order), bool)
         new[1:] = (quotients[1:] != quotients[:-1]) | (remainders[1:] != remainders[:-1])
         at = np.flatnonzero(new)
         total = np.add.reduceat(counts[order], at) if len(at) else counts
-        return QuotientFilter(quotients[at], remainders[at], total, self.quotient_bits)
+        return cls(quotients[at], remainders[at], total, parts[0].quotient_bits)
+
+    def merge(self, other: QuotientFilter) -> QuotientFilter:
+        return QuotientFilter.merged([self, other])
 
     def fingerprints(self) -> np.ndarray:
         return (self.quotients.astype(np.uint64) << np.uint64(64 - self.quotient_bits)) | self.remainders
@@ -108,13 +116,16 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int, quotient_bits: int
             yield seal()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged: dict[int, QuotientFilter] = {}
+        held: dict[int, list[QuotientFilter]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                name = row.pop("segment")
-                part = QuotientFilter.unpacked(**row, quotient_bits=quotient_bits)
-                merged[name] = merged[name].merge(part) if name in merged else part
-        for part in merged.values():
+                parts = held.setdefault(row.pop("segment"), [])
+                parts.append(QuotientFilter.unpacked(**row, quotient_bits=quotient_bits))
+                # As many as there are sorted ones: each key is merged a few times, however many filters come.
+                if len(parts) > 2 and sum(len(p.counts) for p in parts[1:]) > max(SEGMENT_KEYS, len(parts[0].counts)):
+                    parts[:] = [QuotientFilter.merged(parts)]
+        for parts in held.values():
+            part = QuotientFilter.merged(parts)
             found = part.fingerprints()[part.counts > 1]
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["fp"])
 
@@ -122,6 +133,27 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int, quotient_bits: int
     return filters.repartition(1 << bits, "segment").mapInArrow(merge, "fp long")
 
 
+def _slot(key: Column) -> tuple[Column, Column]:
+    """Word and bit of a 64-bit hash in a map of 2**MAP_BITS bits."""
+    bit = key.bitwiseAND(F.lit(63)).cast("int")
+    return F.shiftrightunsigned(key, 64 - MAP_BITS + 6), F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def bit_map(keys: DataFrame, key: Column) -> DataFrame:
+    """(word, bits): a bit for every hash, at most 2**(MAP_BITS - 6) rows."""
+    word, bit = _slot(key)
+    return keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def in_map(key: Column) -> Column:
+    """Whether a row joined with a map by ``same_word`` may have its hash there."""
+    return F.coalesce(F.col("bits").bitwiseAND(_slot(key)[1]) != 0, F.lit(False))
+
+
+def same_word(key: Column) -> Column:
+    return F.col("word") == _slot(key)[0]
+
+
 def _digest(body: Column) -> Column:
     return F.sha2(body.cast("binary"), 256)
 
@@ -129,15 +161,19 @@ def _digest(body: Column) -> Column:
 def repeated_texts(docs: DataFrame, text: str = "text", key: str = "doc_id", normal=lower_ascii) -> DataFrame:
     """Groups of two rows or more with one text: (text_sha256, keep_id, group_size).
 
-    Only suspects are shuffled, as partial groups: of a group of copies each map task sends
-    one. Byte verification: the least and the greatest text of a digest must be equal.
+    Texts whose hash has no bit in the map of suspects, which is broadcast and bounded, never
+    leave their task; the others meet the suspects themselves. Of a group of copies each
+    map task then sends one. Byte verification: the least and the greatest text of a digest
+    must be equal.
     """
     body: Column = normal(F.col(text))
     prints = settled(docs.select(F.xxhash64(body).alias("fp")))
     suspects = settled(repeated_fingerprints(prints, prints.count()))
     texts = docs.select(F.xxhash64(body).alias("fp"), body.alias("body"), F.col(key).cast("long").alias("doc_id"))
+    marked = F.broadcast(bit_map(suspects, F.col("fp")))
     groups = (
-        texts.join(suspects, "fp", "left_semi")
+        texts.join(marked, same_word(F.col("fp")) & in_map(F.col("fp")), "left_semi")
+        .join(suspects, "fp", "left_semi")
         .groupBy(_digest(F.col("body")).alias("text_sha256"))
         .agg(
             F.max("doc_id").alias("keep_id"),
@@ -173,7 +209,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", norma
 def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", normal=lower_ascii) -> DataFrame:
     """The rows of ``docs``, all columns, without later copies: the largest key of a group stays.
 
-    Of fully repeated rows one stays. Columns of any name may be present.
+    Of fully repeated rows one stays. Columns of any name may be present. Rows whose digest
+    has no bit in a bounded map of the repeated ones stay without a shuffle.
     """
     groups = repeated_texts(docs, text, key, normal).withColumnRenamed("text_sha256", "digest")
     packed = docs.select(
@@ -181,8 +218,11 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", norma
         _digest(normal(F.col(text))).alias("digest"),
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
     )
-    marked = packed.join(groups, "digest", "left")
-    alone = marked.filter("group_size is null").select("row")
+    key64 = F.xxhash64("digest")
+    hinted = packed.join(F.broadcast(bit_map(groups, key64)), same_word(key64), "left").withColumn("hinted", in_map(key64))
+    alone = hinted.filter(~F.col("hinted")).select("row")
+    marked = hinted.filter("hinted").select("id", "digest", "row").join(groups, "digest", "left")
+    chance = marked.filter("group_size is null").select("row")
     best = marked.filter(F.col("group_size").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id")))
     first = best.groupBy("digest").agg(F.first("row").alias("row")).select("row")
-    return alone.unionByName(first).select("row.*")
+    return alone.unionByName(chance).unionByName(first).select("row.*")

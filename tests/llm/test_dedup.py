@@ -2,6 +2,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pytest
 import xxhash
 from samples import make, odd_rows, prose
 
@@ -51,6 +52,29 @@ def test_hot_fingerprint_reaches_the_merge_once_per_filter(spark):
     assert [r.fp for r in E.repeated_fingerprints(fps, 20_000).collect()] == [7]
 
 
+def test_filters_merge_at_once_as_one_by_one():
+    rng = np.random.default_rng(8)
+    parts = [E.QuotientFilter.build(rng.integers(0, 900, 400).astype(np.uint64) << np.uint64(40), 24) for _ in range(7)]
+    step = parts[0]
+    for part in parts[1:]:
+        step = step.merge(part)
+    whole = E.QuotientFilter.merged(parts)
+    assert (whole.fingerprints() == step.fingerprints()).all() and (whole.counts == step.counts).all() and whole.counts.sum() == 2800
+
+
+@pytest.mark.parametrize("bits", [7, 12, 26])
+def test_a_map_that_is_full_loses_nothing(spark, odd, monkeypatch, bits):
+    """Two words of bits let nearly all rows through, many let only suspects through: the groups agree."""
+    monkeypatch.setattr(E, "MAP_BITS", bits)
+    docs = spark.range(600).selectExpr("id as doc_id", "concat(if(id % 5 = 0, 'Copy ', 'own '), if(id % 5 = 0, id % 40, id)) as text")
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in E.exact_groups(docs).collect()}
+    want = {i: (560 + i % 40, 15) if i % 5 == 0 else (i, 1) for i in range(600)}
+    assert got == want
+    assert {r.doc_id for r in E.drop_repeats(docs).collect()} == {k for k, _ in want.values()}
+    kept = collections.Counter((r.text or "").lower() for r in E.drop_repeats(odd).collect())
+    assert set(kept.values()) == {1} and set(kept) == {(t or "").lower() for _, t, _ in odd_rows()}
+
+
 def test_drop_repeats_keeps_one_row_of_each_text(odd):
     got = E.drop_repeats(odd)
     assert got.columns == odd.columns
