@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import WORD, settled
+from pacewatch.llm.common import WORD, settled, stored
 
 #: Words of a block.
 BLOCK = 128
@@ -80,7 +80,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 def placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Give every row that has words its place in the stream of its source: (ordinal, start).
 
-    ``rows`` has columns source, size and key; others are carried. Rows go to buckets by a
+    ``rows`` has columns source, size and key; others are carried, and a number in ``_place``
+    orders rows of one key and size. Rows go to buckets by a
     hash of the key; buckets follow one another, and the rows of one are in hash order. So
     no sort holds more than a bucket, whatever the size of the source, and repeated rows
     stand side by side at places of their own.
@@ -98,7 +99,8 @@ def placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     totals = bucketed.groupBy("ordinal", "bucket").agg(F.sum("size").alias("words"))
     until = Window.partitionBy("ordinal").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("ordinal", "bucket", F.coalesce(F.sum("words").over(until), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("ordinal", "bucket").orderBy("spread", "key").rowsBetween(Window.unboundedPreceding, -1)
+    ties = [c for c in ("_place",) if c in rows.columns]
+    within = Window.partitionBy("ordinal", "bucket").orderBy("spread", "key", *ties).rowsBetween(Window.unboundedPreceding, -1)
     local = bucketed.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     start = (F.col("offset") + F.col("before")).alias("start")
     kept = [c for c in bucketed.columns if c not in ("spread", "bucket")]
@@ -214,23 +216,26 @@ def mixed_documents(
     A document that an epoch takes whole keeps its text as it is; of others the words taken
     are joined by blanks, in order. ``n_chars``, if there is such a column, is set anew.
     """
-    body = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("key"), F.col("source").cast("string").alias("source"),
-        sized(docs).alias("size"),
+    # Numbered once and written, so that places and cuts are found without the texts, which move once, at the end.
+    kept = stored(
+        docs.select(
+            F.monotonically_increasing_id().alias("_place"), F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("key"),
+            F.col("source").cast("string").alias("source"), sized(docs).alias("size"),
+        )
     )
-    rows = settled(body.select("key", "source", "size"))
+    rows = kept.drop("_row")
     sources = source_table(rows, weights, share, cap)
-    places = placed(body, sources)
-    keys = ["ordinal", "start"]
+    places = placed(rows, sources)
+    keys = ["ordinal", "start", "_place"]
     cuts = (
-        _pieces(places.drop("_row"), plan(sources, seed), keys)
-        .groupBy(*keys, "epoch")
+        _pieces(places, plan(sources, seed), keys)
+        .groupBy("_place", "epoch")
         .agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("parts"), F.sum(F.col("to") - F.col("from")).alias("taken"))
     )
     words = F.regexp_extract_all(F.col("_row.text"), F.lit(f"({WORD})"))
     chosen = F.flatten(F.transform("parts", lambda p: F.slice(words, p["from"].cast("int") + 1, (p["to"] - p["from"]).cast("int"))))
     text = F.when(F.col("taken") == F.col("size"), F.col("_row.text")).otherwise(F.array_join(chosen, " "))
-    out = places.join(cuts, keys).withColumn("_text", text)
+    out = kept.select("_place", "_row", "size").join(cuts, "_place").withColumn("_text", text)
     columns = {name: F.col("_row")[name].alias(name) for name in docs.columns}
     columns["text"] = F.col("_text").alias("text")
     if "n_chars" in columns:
