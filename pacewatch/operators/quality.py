@@ -108,6 +108,17 @@ def check_schema(df: DataFrame, required: Sequence[str] = ACCOUNT_FEATURE_COLUMN
     return df.sparkSession.createDataFrame(missing, "missing_column string")
 
 
+def column_coverage(df: DataFrame, required: Sequence[str] = ACCOUNT_FEATURE_COLUMNS) -> DataFrame:
+    """One row per required column: whether the table has it, its rows, and how many hold a value; one pass."""
+
+    def row(c: str) -> Column:
+        present = c in df.columns
+        filled = F.count(F.col(f"`{c}`")) if present else F.lit(0).cast("long")
+        return F.struct(F.lit(c).alias("column"), F.lit(present).alias("present"), F.count(F.lit(1)).alias("total"), filled.alias("filled"))
+
+    return df.agg(F.array(*map(row, required)).alias("found")).select(F.inline("found"))
+
+
 def contract_report(df: DataFrame, required: Sequence[str] = ACCOUNT_FEATURE_COLUMNS) -> DataFrame:
     """The schema contract as one row of a check report: how many required columns are missing."""
     return check_schema(df, required).agg(

@@ -519,7 +519,15 @@ ORACLES: dict[str, str] = {
                                         ('auc_above_half', 1.0::DOUBLE))""",
     "csv_first_rows": f"WITH {_RAW} SELECT * EXCLUDE (event_time) FROM raw WHERE row_index < 100",
     "topic_files": f"WITH {_RAW} SELECT user_id, transaction_id, amount, event_time, true AS stamped FROM evs",
-    "schema_contract": "SELECT * FROM (VALUES ('avg_v3'), ('max_velocity_1h')) t(missing_column)",
+    "schema_contract": _ALL_PROFILES
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {str(there).lower()} AS present, count(*) AS total,
+            {f"count({c})" if there else "CAST(0 AS BIGINT)"} AS filled FROM profiles"""
+        for c, there in (
+            *((c, c != "avg_v3") for c in _PROFILE_DOUBLES),
+            ("user_id", True), ("total_txn_count", True), ("last_transaction_time", True), ("max_velocity_1h", False),
+        )
+    ),
     "refresh_report": f"WITH {_QUARANTINED},{_profiles('features')} "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS \"table\", *, false AS published FROM ({sql})"

@@ -41,6 +41,15 @@ def test_schema_contract(spark):
     assert [r.missing_column for r in q.check_schema(renamed).collect()] == ["avg_amount_volatility"]
 
 
+def test_column_coverage(spark):
+    df = frame(spark)
+    rows = df.collect()
+    got = {r["column"]: (r.present, r.total, r.filled) for r in q.column_coverage(df, ["id", "n", "gone"]).collect()}
+    want = {c: (True, len(rows), sum(r[c] is not None for r in rows)) for c in ("id", "n")}
+    assert got == want | {"gone": (False, len(rows), 0)}
+    assert [r.total for r in q.column_coverage(df.limit(0), ["id"]).collect()] == [0]
+
+
 def test_freshness_and_key(spark):
     df = spark.sql("select timestamp'2024-01-01 00:00:00' _ingested_at union all select timestamp'2024-01-01 00:01:00'")
     row = q.freshness(df, now=F.lit("2024-01-01 00:03:00")).head()
