@@ -1,23 +1,32 @@
-"""Repeated runs of lines, by a suffix array over line numbers built by prefix doubling.
-
-Lines become numbers in the order of their digests. Rank k orders all places by the next
-2**k lines; rank k+1 comes from sorting the pairs (rank k here, rank k 2**k lines on), which
-Spark does as a range sort of distinct pairs. Places that agree on a run of m lines form an
-LCP interval of at least m, named by two ranks that cover the run. The shortest runs that
-hold enough words, counted forwards and backwards from each line, cover every longer one,
-so all maximal repeated runs are their unions; all but the first copy is deleted.
+"""Repeated runs of lines, by a suffix array over line numbers built by distributed prefix doubling.
+
+Lines that occur twice become numbers in the order of their digests. A step of prefix doubling
+names the next 2**(k+1) lines of a place by its name for 2**k lines and the names 2**k lines
+on, numbers the distinct pairs by a range sort, and goes on with the places whose names still
+occur twice and whose stretch of repeated lines goes on. It ends when no place is left, so the
+array is whole. The names of a place, shortest first, are its path: sorted paths are the
+suffix array, and neighbours share as many lines as their paths say, the rest looked up where
+the paths part (LCP). At a depth of b lines the array falls into LCP intervals, cut where the
+LCP is below b; an interval with two places is a repeated run. The shortest runs that hold
+enough words, counted forwards and backwards from each line, cover every longer one, so all
+maximal repeated runs are their unions; all but the first copy is deleted.
 Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewatch.llm.common import WORD, settled, stored
 
-#: Words that a repeated run must have.
-MIN_WORDS = 50
+#: Words that a repeated run must have; shorter ones are found in any two texts.
+MIN_WORDS = 5
+
+#: Bits of ``monotonically_increasing_id`` that count the rows of a partition (fixed by Spark).
+ROW_BITS = 33
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -31,20 +40,100 @@ def lines_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(pairs: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """Distinct pairs with a number that grows in their order."""
-    return settled(pairs.select(a, b).distinct().orderBy(a, b).withColumn(name, F.monotonically_increasing_id()))
+def _numbered(keys: DataFrame, *order: str) -> DataFrame:
+    """Distinct keys with ``name``, a number that grows in their order."""
+    return settled(keys.orderBy(*order).withColumn("name", F.monotonically_increasing_id()))
+
+
+def stretches(lines: DataFrame, min_words: int) -> DataFrame:
+    """(row, doc_id, pos, line, words, off, left, name): lines that occur twice, in stretches with enough words.
+
+    A repeated run holds repeated lines only, so a line that occurs once ends a stretch.
+    ``off`` lines of the stretch come before the line, ``left`` are left with it.
+    """
+    often = lines.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "g")
+    twice = lines.join(_numbered(often, "h", "g"), ["h", "g"]).drop("h", "g")
+    island = F.col("pos") - F.row_number().over(Window.partitionBy("row").orderBy("pos"))
+    whole = Window.partitionBy("row", "island")
+    placed = twice.withColumn("island", island).select(
+        "*",
+        (F.row_number().over(whole.orderBy("pos")) - 1).alias("off"),
+        F.count(F.lit(1)).over(whole).alias("size"),
+        F.sum("words").over(whole).alias("all_words"),
+    )
+    left = (F.col("size") - F.col("off")).cast("int").alias("left")
+    return settled(placed.filter(F.col("all_words") >= min_words).select("row", "doc_id", "pos", "line", "words", "off", left, "name"))
+
+
+def suffix_paths(active: DataFrame) -> DataFrame:
+    """(row, doc_id, pos, off, left, path): ``path[k]`` names the next 2**k lines, as far as they occur twice.
+
+    A stretch that ends within those lines ends the name too. Equal paths are equal suffixes.
+    A step reads only places that can still be told apart and those 2**k lines on.
+    """
+    live = active.select("row", "doc_id", "pos", "off", "left", F.array("name").alias("path"), F.lit(True).alias("open"))
+    ended: list[DataFrame] = []
+    step = 1
+    while True:
+        known = reduce(DataFrame.unionByName, [*ended, live]).filter(F.col("off") >= step)
+        ahead = known.select("row", (F.col("pos") - step).alias("pos"), F.col("path").alias("ahead"))
+        goes_on = F.col("open") & (F.col("left") > step)
+        paired = settled(live.filter(goes_on).join(ahead, ["row", "pos"]).withColumn("here", F.element_at("path", -1)))
+        if paired.isEmpty():
+            return reduce(DataFrame.unionByName, [*ended, live]).drop("open")
+        ended.append(live.filter(~goes_on))
+        names = _numbered(paired.groupBy("here", "ahead").agg((F.count(F.lit(1)) > 1).alias("again")), "here", "ahead")
+        longer = F.concat("path", F.array("name")).alias("path")
+        live = settled(paired.join(names, ["here", "ahead"]).select("row", "doc_id", "pos", "off", "left", longer, F.col("again").alias("open")))
+        step *= 2
+
+
+def suffix_array(paths: DataFrame) -> DataFrame:
+    """(sa, row, doc_id, pos, left, path): ``sa`` grows in the order of the suffixes, equal ones by place."""
+    ordered = paths.drop("off").orderBy("path", "doc_id", "row", "pos")
+    return settled(ordered.withColumn("sa", F.monotonically_increasing_id()))
+
+
+def _part(sa: str = "sa") -> Column:
+    return F.shiftright(sa, ROW_BITS)
+
+
+def _matched(pairs: DataFrame) -> DataFrame:
+    """Move both places of a pair on by the lines that their paths share; ``open`` if more can follow."""
+    same = F.zip_with("path", "other_path", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)))
+    levels = F.aggregate(same, F.lit(0), lambda n, x: n + x)
+    shared = F.when(F.col("levels") == 0, 0).otherwise(F.least(F.expr("shiftleft(1, levels - 1)"), "left", "other_left"))
+    on = pairs.withColumn("levels", levels).withColumn("shared", shared)
+    moved = on.select(
+        "sa", (F.col("lcp") + F.col("shared")).alias("lcp"),
+        "row", (F.col("pos") + F.col("shared")).alias("pos"), "other_row", (F.col("other_pos") + F.col("shared")).alias("other_pos"),
+        ((F.col("shared") > 0) & (F.least("left", "other_left") > F.col("shared"))).alias("open"),
+    )
+    return settled(moved)
+
 
+def neighbour_lcp(array: DataFrame) -> DataFrame:
+    """(sa, lcp): the lines that a suffix shares with the one before it; the first suffix has no row.
 
-def suffix_ranks(lines: DataFrame, levels: int) -> DataFrame:
-    """Ranks r0..r<levels> of every place by its next 1, 2, 4 ... lines; a run that ends early sorts first."""
-    ranks = settled(lines.join(_ranked(lines, "h", "g", "r0"), ["h", "g"]).drop("h", "g"))
-    for k in range(levels):
-        ahead = ranks.select("row", (F.col("pos") - (1 << k)).alias("pos"), F.col(f"r{k}").alias("ahead"))
-        paired = ranks.join(ahead, ["row", "pos"], "left").withColumn("ahead", F.coalesce("ahead", F.lit(-1)))
-        names = _ranked(paired, f"r{k}", "ahead", f"r{k + 1}")
-        ranks = settled(paired.join(names, [f"r{k}", "ahead"]).drop("ahead"))
-    return ranks
+    A round moves a pair on by a power of two, each smaller than the last, so there are as
+    many rounds as the largest LCP has binary ones.
+    """
+    # The one before the first of a partition is the last of the partition before: one row a partition.
+    ends = array.groupBy(_part().alias("part")).agg(F.min("sa").alias("sa"), F.max("sa").alias("last"))
+    edges = ends.select("sa", F.lag("last").over(Window.orderBy("part")).alias("edge"))
+    before = F.when(F.col("sa") == F.shiftleft(_part(), ROW_BITS), F.col("edge")).otherwise(F.col("sa") - 1)
+    behind = array.join(edges, "sa", "left").withColumn("before", before)
+    other = array.select(F.col("sa").alias("before"), *(F.col(c).alias(f"other_{c}") for c in ("row", "pos", "left", "path")))
+    pairs = _matched(behind.join(other, "before").withColumn("lcp", F.lit(0)))
+    at = array.select("row", "pos", "left", "path")
+    at_other = at.select(*(F.col(c).alias(f"other_{c}") for c in at.columns))
+    closed: list[DataFrame] = []
+    while True:
+        closed.append(pairs.filter(~F.col("open")).select("sa", "lcp"))
+        going = pairs.filter("open").drop("open")
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, closed)
+        pairs = _matched(going.join(at, ["row", "pos"]).join(at_other, ["other_row", "other_pos"]))
 
 
 def _shortest(near: Column, sign: int, min_words: int) -> Column:
@@ -84,33 +173,36 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
     return both.select("row", "doc_id", "w.start", "w.m").filter("m > 0").distinct()
 
 
+def intervals(runs: DataFrame) -> DataFrame:
+    """``runs`` (sa, lcp, m, ...) with ``head``, the first ``sa`` of the LCP interval of depth ``m`` that holds the run.
+
+    All suffixes of an interval share their first m lines and so have the same run, hence an
+    interval starts where the LCP is below m. The last start is carried over the partitions
+    of the array: a row for each of them and each m, and m is at most the least words of a run.
+    """
+    starts = F.max(F.when(F.col("lcp") < F.col("m"), F.col("sa")))
+    cut = runs.withColumn("part", _part())
+    ends = cut.groupBy("part", "m").agg(starts.alias("last"))
+    earlier = Window.partitionBy("m").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = settled(ends.select("part", "m", F.max("last").over(earlier).alias("carried")))
+    so_far = Window.partitionBy("part", "m").orderBy("sa").rowsBetween(Window.unboundedPreceding, 0)
+    inside = cut.withColumn("inside", starts.over(so_far)).join(carried, ["part", "m"])
+    return inside.withColumn("head", F.coalesce("inside", "carried")).drop("part", "inside", "carried")
+
+
 def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(row, line) of every line to delete. ``rows`` has (row, doc_id, text), with ``row`` unique."""
-    lines = lines_of(rows)
-    often = lines.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "g")
-    # A repeated run holds repeated lines only; a unique line between leaves a gap in pos.
-    active = settled(lines.join(often, ["h", "g"], "left_semi"))
-    wanted = settled(windows(active, min_words))
-    longest = wanted.agg(F.max("m")).first()[0]
-    if not longest:
-        return active.select("row", "line").limit(0)
-    levels = longest.bit_length() - 1
-    ranks = suffix_ranks(active.select("row", "pos", "line", "h", "g"), levels)
-    # A run of m lines is covered by two runs of 2**k lines, 2**k <= m, from its start and to its end.
-    k = F.floor(F.log2(F.col("m") + F.lit(0.5))).cast("int")
-    rank = F.element_at(F.array(*(F.col(f"r{i}") for i in range(levels + 1))), F.col("k") + 1)
-    named = wanted.withColumn("k", k).withColumn("pos", F.col("start"))
-    named = named.join(ranks.select("row", "pos", *(f"r{i}" for i in range(levels + 1))), ["row", "pos"]).select(
-        "row", "doc_id", "start", "m", "k", rank.alias("head"), F.expr("start + m - shiftleft(1, k)").alias("pos")
-    )
-    named = named.join(ranks.select("row", "pos", *(f"r{i}" for i in range(levels + 1))), ["row", "pos"]).select(
-        "row", "start", "m", "head", rank.alias("tail"), F.struct("doc_id", "row", "start").alias("place")
-    )
-    named = settled(named)
-    first = named.groupBy("m", "head", "tail").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = named.join(first, ["m", "head", "tail"]).filter("place <> first")
+    active = stretches(lines_of(rows), min_words)
+    array = suffix_array(suffix_paths(active))
+    lcp = neighbour_lcp(array)
+    suffixes = array.select("sa", "row", F.col("pos").alias("start")).join(lcp, "sa", "left")
+    wanted = windows(active, min_words).join(suffixes, ["row", "start"])
+    place = F.struct("doc_id", "row", "start").alias("place")
+    runs = settled(intervals(wanted.select("sa", F.coalesce("lcp", F.lit(0)).alias("lcp"), "m", place)))
+    first = settled(runs.groupBy("m", "head").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    copies = runs.join(first, ["m", "head"]).filter("place <> first").select("place.row", "place.start", "m")
     gone = copies.select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("pos")).distinct()
-    return gone.join(ranks.select("row", "pos", "line"), ["row", "pos"]).select("row", "line")
+    return gone.join(active.select("row", "pos", "line"), ["row", "pos"]).select("row", "line")
 
 
 def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

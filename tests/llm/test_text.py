@@ -232,6 +232,52 @@ def test_line_dedup_equals_brute_force(spark):
     assert got == dict(without_repeats([(i, t) for i, t, _ in rows]))
 
 
+def _of_few_lines(seed, n, most):
+    """Texts of few distinct lines, so that runs repeat, overlap themselves and nest; some lines are blank or unique."""
+    draw = np.random.default_rng(seed)
+    pool = ["a", "b c", "d e f", "", " \t", "g h i j k l", "m n"]
+    texts = []
+    for i in range(n):
+        body = [pool[k] for k in draw.integers(0, len(pool), draw.integers(0, most))]
+        texts.append("\n".join(body if draw.random() < 0.5 else [*body, f"only{i}", *body[: len(body) // 2]]))
+    return texts + texts[:3] + ["\n".join(["b c"] * 37), "\n".join(["b c"] * 50)]
+
+
+@pytest.mark.parametrize("least", [1, 5, 20])
+def test_line_dedup_of_nested_runs_equals_brute_force(spark, least):
+    rows = [(None if i == 4 else i, t, "s") for i, t in enumerate(_of_few_lines(least, 25, 40))]
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(make(spark, rows), least).collect()}
+    assert got == dict(without_repeats([(i, t) for i, t, _ in rows], least))
+
+
+def _stretches(spark, texts):
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row long, doc_id long, text string")
+    return line_dedup.stretches(line_dedup.lines_of(rows), 1)
+
+
+def test_suffix_array_is_whole_and_its_lcp_exact(spark):
+    active = _stretches(spark, _of_few_lines(7, 20, 30))
+    stretch, suffix = {}, {}
+    for r in active.orderBy("row", "pos").collect():
+        stretch.setdefault((r.row, r.pos - r.off), []).append(r.name)
+    for (row, at), names in stretch.items():
+        suffix |= {(row, at + k): tuple(names[k:]) for k in range(len(names))}
+    array = line_dedup.suffix_array(line_dedup.suffix_paths(active))
+    order = [(r.row, r.pos) for r in array.orderBy("sa").collect()]
+    assert order == sorted(suffix, key=lambda p: (suffix[p], p))
+    lcp = [r.lcp for r in line_dedup.neighbour_lcp(array).orderBy("sa").collect()]
+    shared = [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip(map(suffix.get, order), map(suffix.get, order[1:]))]
+    assert lcp == shared
+    assert max(lcp) > 32
+
+
+def test_line_dedup_of_a_line_on_a_third_of_all_rows(spark):
+    rows = [(i, "the one line of very many texts\nmore " + prose(i, 3) if i % 3 else f"text {i} alone", "s") for i in range(600)]
+    got = line_dedup.without_repeated_lines(make(spark, rows))
+    assert {r.doc_id for r in got.filter("n_deleted = 1").collect()} == {i for i in range(2, 600) if i % 3}
+    assert got.filter("n_deleted > 1").count() == 0
+
+
 def test_line_dedup_of_odd_rows(odd, empty):
     got = line_dedup.without_repeated_lines(odd)
     assert set(odd.columns) | {"n_lines", "n_deleted"} == set(got.columns)
