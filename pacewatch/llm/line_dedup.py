@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacewatch.llm.common import WORD, settled, stored
+from pacewatch.llm.common import WORD, stored
 
 #: Words that a repeated run must have; shorter ones are found in any two texts.
 MIN_WORDS = 5
@@ -42,7 +42,7 @@ def lines_of(rows: DataFrame) -> DataFrame:
 
 def _numbered(keys: DataFrame, *order: str) -> DataFrame:
     """Distinct keys with ``name``, a number that grows in their order."""
-    return settled(keys.orderBy(*order).withColumn("name", F.monotonically_increasing_id()))
+    return stored(keys.orderBy(*order).withColumn("name", F.monotonically_increasing_id()))
 
 
 def stretches(lines: DataFrame, min_words: int) -> DataFrame:
@@ -62,7 +62,7 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
         F.sum("words").over(whole).alias("all_words"),
     )
     left = (F.col("size") - F.col("off")).cast("int").alias("left")
-    return settled(placed.filter(F.col("all_words") >= min_words).select("row", "doc_id", "pos", "line", "words", "off", left, "name"))
+    return stored(placed.filter(F.col("all_words") >= min_words).select("row", "doc_id", "pos", "line", "words", "off", left, "name"))
 
 
 def suffix_paths(active: DataFrame) -> DataFrame:
@@ -78,20 +78,20 @@ def suffix_paths(active: DataFrame) -> DataFrame:
         known = reduce(DataFrame.unionByName, [*ended, live]).filter(F.col("off") >= step)
         ahead = known.select("row", (F.col("pos") - step).alias("pos"), F.col("path").alias("ahead"))
         goes_on = F.col("open") & (F.col("left") > step)
-        paired = settled(live.filter(goes_on).join(ahead, ["row", "pos"]).withColumn("here", F.element_at("path", -1)))
+        paired = stored(live.filter(goes_on).join(ahead, ["row", "pos"]).withColumn("here", F.element_at("path", -1)))
         if paired.isEmpty():
             return reduce(DataFrame.unionByName, [*ended, live]).drop("open")
         ended.append(live.filter(~goes_on))
         names = _numbered(paired.groupBy("here", "ahead").agg((F.count(F.lit(1)) > 1).alias("again")), "here", "ahead")
         longer = F.concat("path", F.array("name")).alias("path")
-        live = settled(paired.join(names, ["here", "ahead"]).select("row", "doc_id", "pos", "off", "left", longer, F.col("again").alias("open")))
+        live = stored(paired.join(names, ["here", "ahead"]).select("row", "doc_id", "pos", "off", "left", longer, F.col("again").alias("open")))
         step *= 2
 
 
 def suffix_array(paths: DataFrame) -> DataFrame:
     """(sa, row, doc_id, pos, left, path): ``sa`` grows in the order of the suffixes, equal ones by place."""
     ordered = paths.drop("off").orderBy("path", "doc_id", "row", "pos")
-    return settled(ordered.withColumn("sa", F.monotonically_increasing_id()))
+    return stored(ordered.withColumn("sa", F.monotonically_increasing_id()))
 
 
 def _part(sa: str = "sa") -> Column:
@@ -109,7 +109,7 @@ def _matched(pairs: DataFrame) -> DataFrame:
         "row", (F.col("pos") + F.col("shared")).alias("pos"), "other_row", (F.col("other_pos") + F.col("shared")).alias("other_pos"),
         ((F.col("shared") > 0) & (F.least("left", "other_left") > F.col("shared"))).alias("open"),
     )
-    return settled(moved)
+    return stored(moved)
 
 
 def neighbour_lcp(array: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def intervals(runs: DataFrame) -> DataFrame:
     cut = runs.withColumn("part", _part())
     ends = cut.groupBy("part", "m").agg(starts.alias("last"))
     earlier = Window.partitionBy("m").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = settled(ends.select("part", "m", F.max("last").over(earlier).alias("carried")))
+    carried = stored(ends.select("part", "m", F.max("last").over(earlier).alias("carried")))
     so_far = Window.partitionBy("part", "m").orderBy("sa").rowsBetween(Window.unboundedPreceding, 0)
     inside = cut.withColumn("inside", starts.over(so_far)).join(carried, ["part", "m"])
     return inside.withColumn("head", F.coalesce("inside", "carried")).drop("part", "inside", "carried")
@@ -198,8 +198,8 @@ def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     suffixes = array.select("sa", "row", F.col("pos").alias("start")).join(lcp, "sa", "left")
     wanted = windows(active, min_words).join(suffixes, ["row", "start"])
     place = F.struct("doc_id", "row", "start").alias("place")
-    runs = settled(intervals(wanted.select("sa", F.coalesce("lcp", F.lit(0)).alias("lcp"), "m", place)))
-    first = settled(runs.groupBy("m", "head").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    runs = stored(intervals(wanted.select("sa", F.coalesce("lcp", F.lit(0)).alias("lcp"), "m", place)))
+    first = stored(runs.groupBy("m", "head").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     copies = runs.join(first, ["m", "head"]).filter("place <> first").select("place.row", "place.start", "m")
     gone = copies.select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("pos")).distinct()
     return gone.join(active.select("row", "pos", "line"), ["row", "pos"]).select("row", "line")
