@@ -25,18 +25,29 @@ from pacewatch.llm.common import WORD, stored
 #: Words that a repeated run must have; shorter ones are found in any two texts.
 MIN_WORDS = 5
 
+#: What may part words within a line.
+BLANKS = " \t\r\f\x0b"
+
 #: Bits of ``monotonically_increasing_id`` that count the rows of a partition (fixed by Spark).
 ROW_BITS = 33
 
 
+def _words(body: Column) -> Column:
+    """Words of a line that has one; where single blanks part them, counting the blanks is enough."""
+    bare = F.btrim(body, F.lit(BLANKS))
+    odd = reduce(Column.__or__, [F.contains(bare, F.lit(x)) for x in ("  ", *BLANKS[1:])])
+    blanks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit("")))
+    return F.when(odd, F.regexp_count(body, F.lit(WORD))).otherwise(blanks + 1)
+
+
 def lines_of(rows: DataFrame) -> DataFrame:
     """(row, doc_id, pos, line, h, g, words): every line with a word; ``pos`` counts them, ``line`` all lines."""
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body")))
-    filled = F.filter(numbered, lambda x: F.length(F.btrim(x["body"], F.lit(" \t\r\f\x0b"))) > 0)
+    filled = F.filter(numbered, lambda x: F.length(F.btrim(x["body"], F.lit(BLANKS))) > 0)
     body = F.col("x.body")
     return rows.select("row", "doc_id", F.posexplode(filled).alias("pos", "x")).select(
         "row", "doc_id", "pos", F.col("x.line").alias("line"),
-        F.xxhash64(body).alias("h"), F.xxhash64(F.lit(7), body).alias("g"), F.regexp_count(body, F.lit(WORD)).alias("words"),
+        F.xxhash64(body).alias("h"), F.xxhash64(F.lit(7), body).alias("g"), _words(body).alias("words"),
     )
 
 
@@ -119,12 +130,13 @@ def neighbour_lcp(array: DataFrame) -> DataFrame:
     many rounds as the largest LCP has binary ones.
     """
     # The one before the first of a partition is the last of the partition before: one row a partition.
-    ends = array.groupBy(_part().alias("part")).agg(F.min("sa").alias("sa"), F.max("sa").alias("last"))
-    edges = ends.select("sa", F.lag("last").over(Window.orderBy("part")).alias("edge"))
-    before = F.when(F.col("sa") == F.shiftleft(_part(), ROW_BITS), F.col("edge")).otherwise(F.col("sa") - 1)
-    behind = array.join(edges, "sa", "left").withColumn("before", before)
-    other = array.select(F.col("sa").alias("before"), *(F.col(c).alias(f"other_{c}") for c in ("row", "pos", "left", "path")))
-    pairs = _matched(behind.join(other, "before").withColumn("lcp", F.lit(0)))
+    parts = array.withColumn("part", _part()).withColumn("here", F.struct("row", "pos", "left", "path"))
+    ends = parts.groupBy("part").agg(F.max_by("here", "sa").alias("last"))
+    edges = ends.select("part", F.lag("last").over(Window.orderBy("part")).alias("edge"))
+    before = F.lag("here").over(Window.partitionBy("part").orderBy("sa"))
+    beside = parts.withColumn("before", before).join(edges, "part").withColumn("other", F.coalesce("before", "edge"))
+    other = [F.col("other")[c].alias(f"other_{c}") for c in ("row", "pos", "left", "path")]
+    pairs = _matched(beside.filter("other is not null").select("sa", "row", "pos", "left", "path", *other, F.lit(0).alias("lcp")))
     at = array.select("row", "pos", "left", "path")
     at_other = at.select(*(F.col(c).alias(f"other_{c}") for c in at.columns))
     closed: list[DataFrame] = []
@@ -220,10 +232,16 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     kept = stored(docs.select(F.monotonically_increasing_id().alias("row"), whole))
     rows = kept.select("row", F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("_row.text").cast("string").alias("text"))
     gone = repeated_lines(rows, min_words).groupBy("row").agg(F.collect_list("line").alias("gone"))
-    lines = F.split(F.col("_row.text"), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    text = F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
+    body = F.col("_row.text")
+
+    def joined(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
+
+    # The lines are bound to a name, else every one would cut the text anew.
+    text = F.element_at(F.transform(F.array(F.split(body, "\n")), joined), 1)
     out = kept.join(gone, "row", "left")
     columns = [F.col("_row")[c].alias(c) if c != "text" else F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(text).alias("text") for c in names]
-    counted = F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(lines))
+    ends = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit("")))
+    counted = F.when(body.isNull(), 0).otherwise(ends + 1)
     return out.select(*columns, counted.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_deleted"))
