@@ -120,6 +120,16 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000)
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def marked(labels: DataFrame, label: str, folds: int, skip: int) -> DataFrame:
+    """(doc_id, label), one row an id; fold ``skip`` and rows without an id or a label of 0 or 1 are left out."""
+    return (
+        only(labels, doc_id="long", **{label: "int"})
+        .filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), folds) != skip))
+        .groupBy("doc_id")
+        .agg(F.max(label).alias("label"))
+    )
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, skip: int) -> DataFrame:
     """Texts with labels to learn from: (doc_id, text, label, weight), at most ``per_class`` rows of a label.
 
@@ -128,12 +138,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     least text hash. Rows of fold ``skip`` and rows without an id or a label of 0 or 1 take no
     part. Ids are drawn by hash, so reruns agree. The drawn ids are broadcast: their number is bounded.
     """
-    marks = (
-        only(labels, doc_id="long", **{label: "int"})
-        .filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), folds) != skip))
-        .groupBy("doc_id")
-        .agg(F.max(label).alias("label"))
-    )
+    marks = marked(labels, label, folds, skip)
     have = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
     draw = F.xxhash64("doc_id", F.lit("labelled"))
     share = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
