@@ -55,6 +55,8 @@ _FINE = {
 # An instant inside the data's month, used wherever a query needs a fixed clock.
 NOW = "2024-01-25 00:00:00"
 POOL = 5000
+# Rows of a file that a query puts before a stream, about.
+FILE_ROWS = 100_000
 
 
 def text_time(c: str | Column) -> Column:
@@ -85,6 +87,11 @@ def scratch(spark: SparkSession) -> str:
 # -- shared inputs ---------------------------------------------------------------
 
 
+def _files(df: DataFrame, portions: int) -> int:
+    """Files of a portion, so that none of them grows with the table."""
+    return max(1, -(-df.count() // (portions * FILE_ROWS)))
+
+
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
     return stage(adapter.bronze(spark, sf))
 
@@ -374,11 +381,13 @@ def bronze_interval(spark, sf):
 def stream_metrics(spark, sf):
     """What a listener wrote of the counters of every batch, summed up."""
     path = scratch(spark)
-    _messages(spark, sf).repartition(4).write.parquet(f"{path}/topic")
+    messages = _messages(spark, sf)
+    files = _files(messages, 4)
+    messages.repartition(4 * files).write.parquet(f"{path}/topic")
     counted = counters.IngestCounters(spark, f"{path}/counters", flush_rows=2)
     spark.streams.addListener(counted)
     try:
-        topic = bronze_stream.read_events_stream(spark, "parquet", {"path": f"{path}/topic", "maxFilesPerTrigger": "1"})
+        topic = bronze_stream.read_events_stream(spark, "parquet", {"path": f"{path}/topic", "maxFilesPerTrigger": str(files)})
         events = ev.observe_ingest(ev.decode_events(topic, "transactions"))
         query = bronze_stream.start_bronze(events, f"{path}/checkpoint", path=f"{path}/bronze", mode="once", query_name=f"counted_{uuid.uuid4().hex}")
         query.awaitTermination()
