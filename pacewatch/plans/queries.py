@@ -402,10 +402,12 @@ def live_features(spark, sf):
     """Features kept by a stream in several batches; equal to a full rebuild."""
     path = scratch(spark)
     raw = adapter.bronze(spark, sf)
-    raw.repartitionByRange(3, "_ingested_at").write.parquet(f"{path}/bronze")
+    files = _files(raw, 3)
+    # Many rows may have come at one instant; their places in the topic tell them apart.
+    raw.repartitionByRange(3 * files, "_ingested_at", "_kafka_offset").write.parquet(f"{path}/bronze")
     events = (
         spark.readStream.schema(raw.schema)
-        .option("maxFilesPerTrigger", 2)
+        .option("maxFilesPerTrigger", 2 * files)
         .parquet(f"{path}/bronze")
     )
     live.start_features(
