@@ -423,9 +423,10 @@ def _stateful(spark: SparkSession, sf: str, lateness: str, newest_first: bool) -
     raw = adapter.bronze(spark, sf)
     ends = raw.select(F.unix_seconds("_ingested_at").alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.01)
     part = sum(((F.unix_seconds("_ingested_at") > int(end)).cast("int") for end in ends), F.lit(0))
+    files = _files(raw, len(ends) + 1)
     for batch in sorted(range(len(ends) + 1), reverse=newest_first):
-        raw.filter(part == batch).coalesce(1).write.mode("append").parquet(f"{path}/bronze")
-    events = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/bronze")
+        raw.filter(part == batch).repartition(files).write.mode("append").parquet(f"{path}/bronze")
+    events = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/bronze")
     state.start_state_features(events, f"{path}/features", f"{path}/checkpoint", lateness, mode="once").awaitTermination()
     current = state.current_state_features(spark, f"{path}/features")
     return shown(current.select("transaction_id", "user_id", "txn_count_7d", "seconds_since_last_txn", "total_amount_24h", "amount_zscore_7d"))

@@ -16,6 +16,7 @@ days of accounts that get no more rows.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,13 @@ REACH = max(WINDOWS.values())
 CHUNK = 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_DAY_STATE = "seconds array<bigint>, ids array<string>, micros array<bigint>, amounts array<double>, arrivals array<struct<at:bigint,part:bigint,place:bigint>>"
+#: Entries of an account that are read in one message; of more, only the days that are needed are read.
+AT_ONCE = 40
+#: Values that standard deviations are taken from at a time.
+SPREAD_VALUES = 1_000_000
+
+#: A day's rows as one value: Spark converts values of a state element by element.
+_DAY_STATE = "rows binary"
 _OUT = ", ".join(
     [
         "transaction_id string, user_id string, event_micros bigint, amount double",
@@ -45,29 +52,70 @@ _OUT = ", ".join(
         "revision bigint",
     ]
 )
-
-
-def _aggregate(agg: str, values: np.ndarray, rows: int) -> float | int | None:
-    """One frame: ``values`` are the amounts that are not null, ``rows`` counts all."""
-    if agg == "count":
-        return rows
-    if agg == "stddev":
-        return float(np.std(values, ddof=1)) if len(values) > 1 else None
-    if not len(values):
-        return None
-    return float({"sum": np.sum, "avg": np.mean, "max": np.max, "min": np.min}[agg](values))
+_OUT_ROW = Row("transaction_id", "user_id", "event_micros", "amount", *FRAMES, GAP, "revision")
+
+
+def _reduced(ufunc: np.ufunc, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``ufunc`` over ``values[start:end]`` of each frame, none of them empty."""
+    between = np.stack([starts, ends], axis=1).ravel()
+    return ufunc.reduceat(np.append(values, 0.0), between)[::2]
+
+
+def _deviations(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """Standard deviations of frames of two values and more."""
+    sizes, out = ends - starts, np.empty(len(starts))
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SPREAD_VALUES)) + 1
+    for part in np.split(np.arange(len(starts)), cuts):
+        if not len(part):
+            continue
+        n = sizes[part]
+        first = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(first - starts[part], n)
+        squares = (values[place] - np.repeat(means[part], n)) ** 2
+        out[part] = np.sqrt(np.add.reduceat(squares, first) / (n - 1))
+    return out
+
+
+def frames(at: np.ndarray, amounts: np.ndarray, chosen: np.ndarray) -> dict[str, list]:
+    """All frames of the chosen rows: ``at`` are the seconds of all rows in order, NaN amounts count as null."""
+    there = ~np.isnan(amounts)
+    values, upto = amounts[there], np.concatenate([[0], np.cumsum(there)])
+    end = np.searchsorted(at, at[chosen])
+    out = {}
+    for window, length in WINDOWS.items():
+        start = np.searchsorted(at, at[chosen] - length)
+        s, e = upto[start], upto[end]
+        found, several = e > s, e - s > 1
+        s, e = s[found], e[found]
+        total = _reduced(np.add, values, s, e)
+        for name, (agg, w) in FRAMES.items():
+            if w != window:
+                continue
+            if agg == "count":
+                out[name] = (end - start).tolist()
+                continue
+            if agg == "stddev":
+                of, most = several, several[found]
+                got = _deviations(values, s[most], e[most], (total / (e - s))[most])
+            else:
+                of = found
+                got = total if agg == "sum" else total / (e - s) if agg == "avg" else _reduced({"max": np.maximum, "min": np.minimum}[agg], values, s, e)
+            column = np.full(len(chosen), None, object)
+            column[of] = got.tolist()
+            out[name] = column.tolist()
+    return out
 
 
 class Days:
     """The days of one account that a batch needs: their rows by id."""
 
-    def __init__(self, read, known: list[int]):
-        self.read, self.known, self.held = read, sorted(known), {}
+    def __init__(self, read, known: list[int], held: dict[int, dict[str, tuple]] | None = None):
+        self.read, self.known, self.held = read, sorted(known), held or {}
 
     def day(self, number: int) -> dict[str, tuple]:
         """Rows (second, id, micros, amount, arrival) of a day."""
         if number not in self.held:
-            self.held[number] = {r[1]: r for r in self.read(number)} if number in self.known else {}
+            self.held[number] = self.read(number) if number in self.known else {}
         return self.held[number]
 
     def put(self, second: int, ident: str, micros: int, amount: float | None, came: tuple) -> list[int]:
@@ -94,52 +142,55 @@ class Days:
                     self.day(d)
 
 
-def changed_rows(days: Days, seconds: list[int], last: int | None) -> Iterator[tuple]:
-    """(row, frames, gap) of all rows whose features the changes at ``seconds`` can have changed."""
+def changed_rows(days: Days, seconds: list[int], last: int | None) -> tuple[list[tuple], dict[str, list], list[int | None]]:
+    """Rows, frames and gaps of all rows whose features the changes at ``seconds`` can have changed."""
     rows = sorted((r for day in days.held.values() for r in day.values()), key=lambda r: r[:2])
     at = np.array([r[0] for r in rows], np.int64)
-    amounts = np.array([np.nan if r[3] is None else r[3] for r in rows])
-    changed = np.zeros(len(rows), bool)
-    for s in sorted(set(seconds)):
-        changed[np.searchsorted(at, s) : np.searchsorted(at, s + REACH, "right")] = True
-        following = np.searchsorted(at, s, "right")
-        changed[following : following + 1] = True
-    for i in np.flatnonzero(changed).tolist():
-        end = int(np.searchsorted(at, at[i]))
-        frames = {}
-        for window, length in WINDOWS.items():
-            frame = amounts[int(np.searchsorted(at, at[i] - length)) : end]
-            there = frame[~np.isnan(frame)]
-            frames |= {name: _aggregate(agg, there, len(frame)) for name, (agg, w) in FRAMES.items() if w == window}
-        previous = int(at[i - 1]) if i else last
-        yield rows[i], frames, None if previous is None else int(at[i]) - previous
+    amounts = np.array([np.nan if r[3] is None else r[3] for r in rows], float)
+    moved = np.unique(np.array(seconds, np.int64))
+    # Rows within the longest window after a change, and the row that follows it.
+    edges = np.zeros(len(rows) + 1, np.int64)
+    np.add.at(edges, np.searchsorted(at, moved), 1)
+    np.add.at(edges, np.searchsorted(at, moved + REACH, "right"), -1)
+    changed = np.cumsum(edges)[:-1] > 0
+    following = np.searchsorted(at, moved, "right")
+    changed[following[following < len(rows)]] = True
+    chosen = np.flatnonzero(changed)
+    seconds_of = at.tolist()
+    before = [seconds_of[i - 1] if i else last for i in chosen.tolist()]
+    gaps = [None if b is None else seconds_of[i] - b for i, b in zip(chosen.tolist(), before)]
+    return [rows[i] for i in chosen.tolist()], frames(at, amounts, chosen), gaps
 
 
 class AccountFeatures(StatefulProcessor):
-    """State of an account: its recent days, its revision and the last second that left."""
+    """State of an account: its recent days, its revision, the last second that left, its next timer and number of days."""
 
     def init(self, handle) -> None:
         self.handle = handle
         self.days = handle.getMapState("days", "day bigint", _DAY_STATE)
-        self.mark = handle.getValueState("mark", "revision bigint, last bigint")
-
-    def _known(self) -> list[int]:
-        return [day for (day,) in self.days.keys()]
+        self.mark = handle.getValueState("mark", "revision bigint, last bigint, waking bigint, count bigint")
 
-    def _read(self, day: int) -> list[tuple]:
-        seconds, ids, micros, amounts, arrivals = self.days.getValue((day,))
-        return list(zip(seconds, ids, micros, amounts, (tuple(a) for a in arrivals)))
+    def _read(self, day: int) -> dict[str, tuple]:
+        return {r[1]: r for r in pickle.loads(self.days.getValue((day,))[0])}
 
     def _write(self, day: int, rows: list[tuple]) -> None:
         rows.sort(key=lambda r: r[:2])
-        self.days.updateValue((day,), tuple(list(column) for column in zip(*rows)))
+        self.days.updateValue((day,), (pickle.dumps(rows),))
+
+    def _open(self, count: int) -> Days:
+        """The account's days; few of them are read together, of many only the days that are asked for."""
+        if count > AT_ONCE:
+            return Days(self._read, [day for (day,) in self.days.keys()])
+        held = {day: {r[1]: r for r in pickle.loads(rows)} for (day,), (rows,) in self.days.iterator()} if count else {}
+        return Days(self._read, list(held), held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        revision, last = self.mark.get() if self.mark.exists() else (0, None)
+        revision, last, waking, count = self.mark.get() or (0, None, None, 0)
+        days = self._open(count)
         while chunk := list(itertools.islice(rows, CHUNK)):
-            days, seconds, written = Days(self._read, self._known()), [], set()
-            for r in chunk:
-                moved = days.put(r.second, r.transaction_id, r.event_micros, r.amount, (r.at, r.part, r.place))
+            seconds, written = [], set()
+            for ident, _, _, micros, second, amount, *came in chunk:
+                moved = days.put(second, ident, micros, amount, tuple(came))
                 seconds += moved
                 written |= {s // DAY for s in moved}
             if not seconds:
@@ -148,26 +199,31 @@ class AccountFeatures(StatefulProcessor):
                 self._write(day, list(days.held[day].values()))
             days.around(seconds)
             revision += 1
-            for (_, ident, micros, amount, _), frames, gap in changed_rows(days, seconds, last):
-                yield Row(transaction_id=ident, user_id=key[0], event_micros=micros, amount=amount, **frames, **{GAP: gap}, revision=revision)
-        self._forget(revision, last, timerValues)
+            found, framed, gaps = changed_rows(days, seconds, last)
+            columns = [framed[name] for name in FRAMES]
+            for (_, ident, micros, amount, _), gap, *values in zip(found, gaps, *columns):
+                yield _OUT_ROW(ident, key[0], micros, amount, *values, gap, revision)
+        self._forget(days, revision, last, waking, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        if self.mark.exists():
-            self._forget(*self.mark.get(), timerValues)
+        mark = self.mark.get()
+        if mark is not None:
+            revision, last, _, count = mark
+            self._forget(self._open(count), revision, last, None, timerValues)
         return iter(())
 
-    def _forget(self, revision: int, last: int | None, timers) -> None:
+    def _forget(self, days: Days, revision: int, last: int | None, waking: int | None, timers) -> None:
         """Drop the days that no row still to come can see; wake up when the next one can go."""
         watermark = timers.getCurrentWatermarkInMs()
-        known = sorted(self._known())
+        known = sorted(days.known)
         left = [d for d in known if self._leaves(d) > watermark]
         for day in known[: len(known) - len(left)]:
-            last = max(self.days.getValue((day,))[0][-1], last if last is not None else -(1 << 62))
+            last = max(*(r[0] for r in days.day(day).values()), last if last is not None else -(1 << 62))
             self.days.removeKey((day,))
-        self.mark.update((revision, last))
-        if left:
-            self.handle.registerTimer(self._leaves(left[0]))
+        if left and self._leaves(left[0]) != waking:
+            waking = self._leaves(left[0])
+            self.handle.registerTimer(waking)
+        self.mark.update((revision, last, waking, len(left)))
 
     @staticmethod
     def _leaves(day: int) -> int:
