@@ -7,7 +7,7 @@ import pytest
 from pacewatch.plans import queries
 
 
-@pytest.mark.parametrize("name, portions, folder", [("live_features", 3, "bronze"), ("stream_metrics", 4, "topic"), ("state_features", 4, "bronze")])
+@pytest.mark.parametrize("name, portions, folder", [("live_features", 3, "bronze"), ("stream_metrics", 4, "topic"), ("state_features", 4, "bronze"), ("state_features_late", 4, "bronze")])
 def test_files_before_a_stream_do_not_grow_with_the_table(spark, sf_dir, tmp_path, monkeypatch, name, portions, folder):
     monkeypatch.setattr(queries, "FILE_ROWS", 100)
     monkeypatch.setattr(queries, "scratch", lambda spark: str(tmp_path))
