@@ -1,7 +1,7 @@
 """Features of a stream kept in Spark's state store, account by account.
 
-Each account's recent rows lie in its state, one entry a day: second, id, amount and what
-orders deliveries. A batch brings an account new rows; the state gives the rows around them,
+Each account's recent rows lie in its state: second, id, amount and what orders deliveries. An
+account of few rows has one entry, a larger one an entry a day. A batch brings an account new rows; the state gives the rows around them,
 and every row whose features changed goes out again with a higher revision: the new rows,
 what follows them within the longest window, and the next row, whose gap changed. No table
 of earlier rows is read, and a batch touches only the accounts and days it changes.
@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from pacewatch.functions.scalars import epoch_seconds
 from pacewatch.operators.features import GAP, completed
 from pacewatch.operators.stage import arrival
 from pacewatch.schema import ROLLING_COLUMNS, SPEND_FRAMES, VELOCITY_FRAMES, VOLATILITY_FRAMES, WINDOWS
@@ -39,20 +38,23 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 #: Entries of an account that are read in one message; of more, only the days that are needed are read.
 AT_ONCE = 40
+#: Rows up to which an account's days lie in one entry, so that a batch writes it in one message.
+TOGETHER = 256
 #: Values that standard deviations are taken from at a time.
 SPREAD_VALUES = 1_000_000
 
-#: A day's rows as one value: Spark converts values of a state element by element.
+#: An entry's rows as one value: Spark converts values of a state element by element.
 _DAY_STATE = "rows binary"
-_OUT = ", ".join(
-    [
-        "transaction_id string, user_id string, event_micros bigint, amount double",
-        *(f"{name} {'bigint' if agg == 'count' else 'double'}" for name, (agg, _) in FRAMES.items()),
-        f"{GAP} bigint",
-        "revision bigint",
-    ]
-)
-_OUT_ROW = Row("transaction_id", "user_id", "event_micros", "amount", *FRAMES, GAP, "revision")
+#: Rows of an account come out as lists, column by column: Spark makes a message of every output of an account.
+_LISTED = {
+    "transaction_id": "string",
+    "event_micros": "bigint",
+    "amount": "double",
+    **{name: "bigint" if agg == "count" else "double" for name, (agg, _) in FRAMES.items()},
+    GAP: "bigint",
+}
+_OUT = ", ".join(["user_id string, revision bigint", *(f"{name} array<{of}>" for name, of in _LISTED.items())])
+_OUT_ROW = Row("user_id", "revision", *_LISTED)
 
 
 def _reduced(ufunc: np.ufunc, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -107,10 +109,14 @@ def frames(at: np.ndarray, amounts: np.ndarray, chosen: np.ndarray) -> dict[str,
 
 
 class Days:
-    """The days of one account that a batch needs: their rows by id."""
+    """The days of one account that a batch needs: their rows by id. ``entries`` are the state's keys."""
 
-    def __init__(self, read, known: list[int], held: dict[int, dict[str, tuple]] | None = None):
-        self.read, self.known, self.held = read, sorted(known), held or {}
+    def __init__(self, read, entries: list[int], held: dict[int, dict[str, tuple]] | None = None):
+        self.read, self.entries, self.held = read, set(entries), {} if held is None else held
+        self.whole = held is not None
+        self.known = sorted(self.held if self.whole else self.entries)
+        #: Days that changed; and whether days share an entry.
+        self.changed, self.shared = set(), len(self.held) > len(self.entries)
 
     def day(self, number: int) -> dict[str, tuple]:
         """Rows (second, id, micros, amount, arrival) of a day."""
@@ -127,6 +133,7 @@ class Days:
         if there is not None and there[4] <= came:
             return []
         rows[ident] = (second, ident, micros, amount, came)
+        self.changed.add(second // DAY)
         return [second] if there is None else [second, there[0]]
 
     def around(self, seconds: list[int]) -> None:
@@ -144,7 +151,7 @@ class Days:
 
 def changed_rows(days: Days, seconds: list[int], last: int | None) -> tuple[list[tuple], dict[str, list], list[int | None]]:
     """Rows, frames and gaps of all rows whose features the changes at ``seconds`` can have changed."""
-    rows = sorted((r for day in days.held.values() for r in day.values()), key=lambda r: r[:2])
+    rows = sorted(r for day in days.held.values() for r in day.values())
     at = np.array([r[0] for r in rows], np.int64)
     amounts = np.array([np.nan if r[3] is None else r[3] for r in rows], float)
     moved = np.unique(np.array(seconds, np.int64))
@@ -163,7 +170,7 @@ def changed_rows(days: Days, seconds: list[int], last: int | None) -> tuple[list
 
 
 class AccountFeatures(StatefulProcessor):
-    """State of an account: its recent days, its revision, the last second that left, its next timer and number of days."""
+    """State of an account: its recent days, its revision, the last second that left, its next timer and number of entries."""
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -173,57 +180,69 @@ class AccountFeatures(StatefulProcessor):
     def _read(self, day: int) -> dict[str, tuple]:
         return {r[1]: r for r in pickle.loads(self.days.getValue((day,))[0])}
 
-    def _write(self, day: int, rows: list[tuple]) -> None:
+    def _write(self, entry: int, rows: list[tuple]) -> None:
         rows.sort(key=lambda r: r[:2])
-        self.days.updateValue((day,), (pickle.dumps(rows),))
+        self.days.updateValue((entry,), (pickle.dumps(rows),))
 
     def _open(self, count: int) -> Days:
-        """The account's days; few of them are read together, of many only the days that are asked for."""
+        """The account's days; few entries are read together, of many only the days that are asked for."""
         if count > AT_ONCE:
             return Days(self._read, [day for (day,) in self.days.keys()])
-        held = {day: {r[1]: r for r in pickle.loads(rows)} for (day,), (rows,) in self.days.iterator()} if count else {}
-        return Days(self._read, list(held), held)
+        entries, held = [], {}
+        for (entry,), (rows,) in self.days.iterator() if count else ():
+            entries.append(entry)
+            for r in pickle.loads(rows):
+                held.setdefault(r[0] // DAY, {})[r[1]] = r
+        return Days(self._read, entries, held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         revision, last, waking, count = self.mark.get() or (0, None, None, 0)
         days = self._open(count)
         while chunk := list(itertools.islice(rows, CHUNK)):
-            seconds, written = [], set()
-            for ident, _, _, micros, second, amount, *came in chunk:
-                moved = days.put(second, ident, micros, amount, tuple(came))
-                seconds += moved
-                written |= {s // DAY for s in moved}
+            seconds = []
+            for ident, _, _, micros, amount, *came in chunk:
+                seconds += days.put(micros // 1_000_000, ident, micros, amount, tuple(came))
             if not seconds:
                 continue
-            for day in written:
-                self._write(day, list(days.held[day].values()))
             days.around(seconds)
             revision += 1
             found, framed, gaps = changed_rows(days, seconds, last)
-            columns = [framed[name] for name in FRAMES]
-            for (_, ident, micros, amount, _), gap, *values in zip(found, gaps, *columns):
-                yield _OUT_ROW(ident, key[0], micros, amount, *values, gap, revision)
-        self._forget(days, revision, last, waking, timerValues)
+            _, idents, micros, amounts, _ = zip(*found)
+            columns = [idents, micros, amounts, *(framed[name] for name in FRAMES), gaps]
+            for at in range(0, len(found), CHUNK):
+                yield _OUT_ROW(key[0], revision, *(list(column[at : at + CHUNK]) for column in columns))
+        self._keep(days, revision, last, waking, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         mark = self.mark.get()
         if mark is not None:
             revision, last, _, count = mark
-            self._forget(self._open(count), revision, last, None, timerValues)
+            self._keep(self._open(count), revision, last, None, timerValues)
         return iter(())
 
-    def _forget(self, days: Days, revision: int, last: int | None, waking: int | None, timers) -> None:
-        """Drop the days that no row still to come can see; wake up when the next one can go."""
+    def _keep(self, days: Days, revision: int, last: int | None, waking: int | None, timers) -> None:
+        """Write what changed, drop the days that no row still to come can see; wake up when the next one can go."""
         watermark = timers.getCurrentWatermarkInMs()
         known = sorted(days.known)
         left = [d for d in known if self._leaves(d) > watermark]
-        for day in known[: len(known) - len(left)]:
+        gone = known[: len(known) - len(left)]
+        for day in gone:
             last = max(*(r[0] for r in days.day(day).values()), last if last is not None else -(1 << 62))
-            self.days.removeKey((day,))
+        if days.whole and left and sum(len(days.held[d]) for d in left) <= TOGETHER:
+            entry = min(days.entries.intersection(left), default=left[0])
+            entries = {entry}
+            if days.changed or gone or days.entries != entries:
+                self._write(entry, [r for d in left for r in days.held[d].values()])
+        else:
+            entries = set(left)
+            for day in left if days.shared else sorted(days.changed.intersection(left)):
+                self._write(day, list(days.held[day].values()))
+        for entry in days.entries - entries:
+            self.days.removeKey((entry,))
         if left and self._leaves(left[0]) != waking:
             waking = self._leaves(left[0])
             self.handle.registerTimer(waking)
-        self.mark.update((revision, last, waking, len(left)))
+        self.mark.update((revision, last, waking, len(entries)))
 
     @staticmethod
     def _leaves(day: int) -> int:
@@ -259,7 +278,6 @@ def start_state_features(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_time").cast("timestamp").alias("event_time"),
         F.unix_micros(F.col("event_time").cast("timestamp")).alias("event_micros"),
-        epoch_seconds("event_time").alias("second"),
         F.when(~F.isnan("amount"), F.col("amount")).cast("double").alias("amount"),
         F.unix_micros(came["at"].cast("timestamp")).alias("at"),
         came["part"].alias("part"),
@@ -269,6 +287,7 @@ def start_state_features(
         rows.withWatermark("event_time", lateness)
         .groupBy("user_id")
         .transformWithState(AccountFeatures(), _OUT, "Append", "EventTime")
+        .select("user_id", "revision", F.inline(F.arrays_zip(*_LISTED)))
         .withColumn("event_time", F.timestamp_micros("event_micros"))
     )
     out = completed(framed).select("transaction_id", "user_id", "event_time", "amount", *ROLLING_COLUMNS, "revision")
