@@ -56,10 +56,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _rounding(width: int) -> float:
+    """Bound of a product's rounding error, as a share of the squares that go into it."""
+    return 8 * (width + 4) * np.finfo(float).eps
+
+
 def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Squared distances of rows by one product, and a bound of their rounding error."""
     xx, yy = (x * x).sum(1), (y * y).sum(1)
-    slack = 8 * (x.shape[1] + 4) * np.finfo(float).eps * float(xx.max(initial=0) + yy.max(initial=0))
+    slack = _rounding(x.shape[1]) * float(xx.max(initial=0) + yy.max(initial=0))
     return xx[:, None] + yy - 2 * (x @ y.T), slack
 
 
@@ -101,25 +106,43 @@ class Cells:
         self.pivots, self.sizes, self.radii = pivots, sizes, radii
 
     def home(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest pivot of each vector and the distance to it."""
-        d = self.distances(v)
-        own = d.argmin(1)
-        return own, d[np.arange(len(v)), own]
-
-    def distances(self, v: np.ndarray) -> np.ndarray:
-        """To every pivot; by differences, pivot by pivot, so that bounds can rely on them."""
-        return np.sqrt(np.stack([((v - p) ** 2).sum(1) for p in self.pivots], axis=1))
+        """Nearest pivot of each vector and the distance to it.
+
+        One product finds the pivots that can be nearest, allowing for its rounding; the
+        distances of those are then taken from the differences.
+        """
+        own, far = np.zeros(len(v), np.int64), np.zeros(len(v))
+        for at in range(0, len(v), STEP):
+            part = v[at : at + STEP]
+            about, slack = _squares(part, self.pivots)
+            # Not what is farther: a vector without distances belongs to the first pivot.
+            row, col = np.nonzero(~(about > about.min(1, keepdims=True) + 2 * slack))
+            d = np.sqrt(((part[row] - self.pivots[col]) ** 2).sum(1))
+            order = np.lexsort((col, d, row))
+            best = order[np.searchsorted(row[order], np.arange(len(part)))]
+            own[at : at + STEP], far[at : at + STEP] = col[best], d[best]
+        return own, far
+
+    def distances(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """To every pivot by one product: their squares and the most that these can be off."""
+        vv, pp = (v * v).sum(1)[:, None], (self.pivots * self.pivots).sum(1)
+        return vv + pp - 2 * (v @ self.pivots.T), _rounding(v.shape[1]) * (vv + pp)
 
     def visits(self, v: np.ndarray, own: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, cell) of the other cells that each vector has to look through."""
-        d = self.distances(v)
-        mine = d[np.arange(len(v)), own][:, None]
+        squares, slack = self.distances(v)
+        # No farther than it is.
+        squares = np.maximum(squares - slack, 0.0)
+        d = np.sqrt(squares)
+        mine = np.sqrt(((v - self.pivots[own]) ** 2).sum(1))[:, None]
         apart = self.between[own]
         with np.errstate(divide="ignore", invalid="ignore"):
-            halfway = np.where(apart > 0, (d * d - mine * mine) / (2 * apart), 0.0)
+            halfway = np.where(apart > 0, (squares - mine * mine) / (2 * apart), 0.0)
         bound = np.maximum(d - self.radii, halfway) - 1e-9 * (d + mine)
         bound[np.arange(len(v)), own] = np.inf
-        order = np.lexsort((d, np.maximum(bound, 0)), axis=1)
+        # One key to sort by: cells within no bound come first, by distance.
+        with np.errstate(divide="ignore"):
+            order = np.argsort(np.where(bound <= 0, -1 / d, bound), axis=1)
         # The own cell comes last and is not counted.
         ahead = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]
         nearest_first = np.take_along_axis(bound, order, 1)
@@ -131,9 +154,9 @@ class Cells:
 
     @property
     def between(self) -> np.ndarray:
-        """Distances between pivots, made once in a worker."""
+        """Distances between pivots, made once in a worker; by differences, so that bounds can rely on them."""
         if not hasattr(self, "_between"):
-            self._between = self.distances(self.pivots)
+            self._between = np.sqrt(np.stack([((self.pivots - p) ** 2).sum(1) for p in self.pivots], axis=1))
         return self._between
 
 
