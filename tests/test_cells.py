@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
+from pacewatch.operators import oversample
 from pacewatch.operators.oversample import Cells
 
 RNG = np.random.default_rng(11)
@@ -51,6 +52,32 @@ def test_a_vector_looks_through_every_cell_with_a_nearer_one(shift):
     assert needed <= seen and all(cells.sizes[c] > 0 and c != own[i] for i, c in seen)
 
 
+def test_no_number_of_compared_vectors_ends_a_search(monkeypatch):
+    """However many vectors lie in cells with nearer bounds, the others are looked through too."""
+    monkeypatch.setattr(oversample, "VISITED", 40)
+    v = RNG.normal(size=(600, 8))
+    cells, own, _ = cells_of(v[:50], v)
+    row, cell = cells.visits(v, own, np.full(len(v), np.inf))
+    assert (np.bincount(row) == 49).all() and len(set(zip(row.tolist(), cell.tolist()))) == len(row)
+
+
+def test_rounds_take_every_visit_once_and_leave_out_those_seen():
+    v = RNG.normal(size=(300, 6))
+    cells, own, _ = cells_of(v[:30], v)
+    within = np.where(np.arange(len(v)) % 3 == 0, np.inf, 1.5)
+    whole = cells.visits(v, own, within)
+    left, rounds, seen = whole, 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    while len(left[0]):
+        now = cells.begun(*left, 60)
+        first = np.unique(left[0], return_index=True)[1]
+        assert now[first].all()
+        compared = np.bincount(left[0][now], weights=cells.sizes[left[1][now]])
+        assert compared.max() < 60 + cells.sizes.max()
+        seen = tuple(np.concatenate([a, b[now]]) for a, b in zip(seen, left))
+        left, rounds = cells.visits(v, own, within, seen), rounds + 1
+    assert rounds > 2 and sorted(zip(*seen)) == sorted(zip(*whole))
+
+
 def test_vectors_without_distances_belong_to_the_first_cell():
     v = np.array([[0.0, 1.0], [np.nan, 0.0], [np.inf, 0.0], [5.0, 5.0]])
     pivots = np.array([[9.0, 9.0], [0.0, 0.0], [5.0, 5.0]])
