@@ -136,6 +136,25 @@ def test_a_bounded_search_still_finds_most(spark, monkeypatch):
     assert recall_of(spark, centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, len(MODEL_COLUMNS)))) >= 0.9
 
 
+@pytest.mark.parametrize("case", ["normal", "few in most cells"])
+def test_neighbours_are_exact_over_several_rounds(spark, monkeypatch, case):
+    """Nearly all cells have to be looked through, a few in a round."""
+    monkeypatch.setattr(oversample, "CELL", 16)
+    monkeypatch.setattr(oversample, "VISITED", 60)
+    searched, calls = oversample._searched, []
+    monkeypatch.setattr(oversample, "_searched", lambda *args: calls.append(1) or searched(*args))
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(240, len(MODEL_COLUMNS)))
+    if case != "normal":
+        points = np.concatenate([points[:60] * 50, points[60:]])
+    df = spark.createDataFrame([(p.tolist(), 1) for p in points], "v array<double>, copies long")
+    got, want = nearest_vectors(df, 5).collect(), brute(points, 5)
+    assert len(got) == len(points) and len(calls) > 3
+    for row in got:
+        have = np.sort([np.sqrt(((np.array(x) - np.array(row.v)) ** 2).sum()) for x in row.neighbours])
+        assert np.allclose(have, want[tuple(row.v)], rtol=1e-9)
+
+
 def test_distances_of_nearest_rows(spark):
     rows = [("a", [0.0, 0.0]), ("b", [3.0, 4.0]), ("c", [0.0, 0.0]), ("d", [0.0, 1.0])]
     got = nearest_rows(spark.createDataFrame(rows, "transaction_id string, v array<double>"), 2).collect()
