@@ -212,6 +212,20 @@ def test_smote_reaches_the_ratio_on_segments_between_positives(spark):
         assert any(on_segment(i, j) for i in near for j in near[i])
 
 
+def test_smote_draws_from_the_true_neighbours_over_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(oversample, "CELL", 16)
+    monkeypatch.setattr(oversample, "VISITED", 30)
+    rng, names = np.random.default_rng(9), [f"x{i}" for i in range(12)]
+    base = rng.normal(size=(120, 12))
+    rows = [(f"p{i}", 1, *p.tolist()) for i, p in enumerate(base)] + [(f"n{i}", 0, *[0.0] * 12) for i in range(2400)]
+    df = spark.createDataFrame(rows, ["transaction_id", "is_fraud", *names])
+    made = smote(df, names, draws=True).collect()
+    assert len(made) == 120
+    for row in made:
+        d = np.sqrt(((base - np.array(row.base)) ** 2).sum(1))
+        assert math.isclose(np.sort(d)[row.which], math.dist(row.base, row.towards), rel_tol=1e-9)
+
+
 def test_smote_repeats_by_seed_and_leaves_negatives_alone(spark):
     df = labelled(spark, 12, 400)
     one, two = smote(df, ["a", "b", "c"]), smote(df.repartition(5), ["a", "b", "c"])
